@@ -13,8 +13,8 @@ from feedloom.operators.quality import contains_ci, valid_records
 from feedloom.plans.catalogue import Selectors, venue_catalogue
 from feedloom.plans.posts import text_features as text_features_plan
 from feedloom.queries.registry import query, table
-from feedloom.schemas import RECORD_METRICS
-from feedloom.sources.readers import page_urls
+from feedloom.schemas import RECORD_METRICS, STOP_WORDS
+from feedloom.sources.readers import local_rows, page_urls
 
 # SQL form of the Unicode white-space and word classes.
 _SPACE = r"\s\p{Z}\x{85}\x{1c}-\x{1f}"
@@ -139,7 +139,7 @@ SELECT doc_id, word, count(*) AS count FROM words WHERE word NOT IN ({_word_list
 def stop_word_anti_join(spark, folder):
     docs = table(spark, folder, "documents")
     words = docs.select("doc_id", F.explode(F.split(text.clean_post("text"), " ")).alias("word"))
-    stops = spark.createDataFrame([(w,) for w in TITLE_STOP_WORDS], "word string")
+    stops = local_rows(spark, [(w,) for w in TITLE_STOP_WORDS], STOP_WORDS)
     return agg.count_by(lookups.drop_stop_rows(words, stops), "doc_id", "word")
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import csv
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedloom.functions.text import page_url
 from feedloom.operators.shape import union_all
@@ -59,8 +61,10 @@ def read_any(spark: SparkSession, fmt: str, path: str | None = None, **options:
 
 
 def local_rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """A small dimension from local rows."""
-    return spark.createDataFrame(rows, schema)
+    """A small dimension from local rows, kept inside the plan."""
+    columns = [list(c) for c in zip(*rows)] or [[] for _ in schema.fields]
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema.fields)]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
