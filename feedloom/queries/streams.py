@@ -1 +1,115 @@
-"""stub"""
+"""Streaming jobs run to completion over the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom import schemas
+from feedloom.operators import shape
+from feedloom.plans import observations
+from feedloom.plans.posts import enrich
+from feedloom.queries.logistics import (
+    ROUTE_SQL, WEATHER_SQL, route_columns, route_documents, weather_columns, weather_documents,
+)
+from feedloom.queries.posts import _z_sql
+from feedloom.queries.registry import query, table
+from feedloom.queries.tables import KEYED_SQL, narrow
+from feedloom.queries.views import (
+    ENRICHED, ENRICHED_COLUMNS, POSTS, as_of, as_posts, as_records, title_lexicon,
+)
+from feedloom.session import new_dir
+from feedloom.sources import items, readers
+from feedloom.streaming import jobs
+from feedloom.streaming.activity import author_counts
+
+
+def _event_stream(spark, folder):
+    return readers.read_stream(
+        spark, "parquet", folder, table(spark, folder, "events").schema,
+        pathGlobFilter="events.parquet", maxFilesPerTrigger="1",
+    )
+
+
+def _finished(stream, name, fmt="parquet"):
+    """Run an append stream to its end and read its output."""
+    spark = stream.sparkSession
+    path = new_dir(spark, name)
+    jobs.run(stream, f"{path}/checkpoint", path=f"{path}/out", fmt=fmt, once=True)
+    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+@query(f"WITH {ENRICHED} SELECT * FROM enriched")
+def stream_enrich(spark, folder):
+    messages = shape.keyed_json(as_records(_event_stream(spark, folder)))
+    decoded = shape.decode(messages, schemas.POST_EVENT).drop("raw", "malformed")
+    done = _finished(enrich(decoded, title_lexicon(spark, folder), as_of()), "enrich")
+    return done.withColumn("title_tokens", F.array_join("title_tokens", " ")).select(*ENRICHED_COLUMNS)
+
+
+@query(f"""
+WITH {POSTS} SELECT id, author,
+  count(*) OVER (PARTITION BY author ORDER BY created, id ROWS UNBOUNDED PRECEDING) AS author_activity_count
+FROM posts
+""")
+def stream_author_count(spark, folder):
+    events = as_posts(_event_stream(spark, folder)).select("id", "author", "created")
+    return _finished(author_counts(events, "author", ["created", "id"]), "author-count").drop("created")
+
+
+def _post_job(spark, folder):
+    root = new_dir(spark, "posts")
+    messages = shape.keyed_json(as_records(_event_stream(spark, folder)))
+    handle = jobs.post_batch(title_lexicon(spark, folder), root, as_of())
+    jobs.run(messages, f"{root}/checkpoint", batch=handle, once=True)
+    return root
+
+
+@query(f"""
+WITH {ENRICHED}
+SELECT id, author, count(*) OVER (PARTITION BY author ORDER BY created_time, id ROWS UNBOUNDED PRECEDING)
+  AS author_activity_count, time_of_day, post_type, title_tokens, round(popularity_score, 6) AS popularity_score
+FROM enriched
+""")
+def stream_upsert(spark, folder):
+    """Messages through the whole post job; the item table holds one enriched row per id."""
+    stored = items.read_items(spark, f"{_post_job(spark, folder)}/posts", ["id"])
+    return stored.select(
+        "id", "author", "author_activity_count", "time_of_day", "post_type",
+        F.array_join("title_tokens", " ").alias("title_tokens"),
+        F.round(F.col("popularity_score").cast("double"), 6).alias("popularity_score"),
+    )
+
+
+@query(f"""
+WITH {ENRICHED}, p AS (SELECT id, subreddit AS category, score, num_comments, popularity_score FROM enriched)
+SELECT id, metric, z_score FROM ({_z_sql('')}) WHERE z_score > 3
+""")
+def stream_anomalies(spark, folder):
+    """The anomaly log of the post job; the one input file makes one batch."""
+    log = spark.read.parquet(f"{_post_job(spark, folder)}/anomalies")
+    return log.select("id", "metric", F.round("z_score", 6).alias("z_score"))
+
+
+@query(KEYED_SQL)
+def stream_republish(spark, folder):
+    events = narrow(as_posts(_event_stream(spark, folder)))
+    return _finished(shape.keyed_json(events), "republish")
+
+
+def _landed(spark, documents, schema):
+    """Documents written to a landing folder and picked up from there as a stream."""
+    landing = new_dir(spark, "landing")
+    documents.write.text(landing)
+    return readers.observations(spark, landing, schema)
+
+
+@query(WEATHER_SQL)
+def stream_weather(spark, folder):
+    docs = _landed(spark, weather_documents(spark, folder), schemas.WEATHER)
+    return weather_columns(_finished(observations.weather_features(docs), "weather"))
+
+
+@query(ROUTE_SQL)
+def stream_routes(spark, folder):
+    docs = _landed(spark, route_documents(spark, folder), schemas.ROUTE)
+    return route_columns(_finished(observations.route_features(docs), "routes"))

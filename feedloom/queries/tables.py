@@ -1 +1,159 @@
-"""stub"""
+"""Readers and writers: each query writes a driver table in one form and reads it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom import schemas
+from feedloom.operators import shape
+from feedloom.operators.quality import valid_records
+from feedloom.plans.posts import prepare_posts
+from feedloom.queries.registry import query, table
+from feedloom.queries.views import POSTS, flights, posts, records
+from feedloom.session import new_dir
+from feedloom.sources import items, readers, writers
+
+_MESSAGE = """'{"id":' || id || ',"author":' || author || ',"category":"' || category || '","score":' || score
+  || ',"thumbnail":' || CASE WHEN thumbnail IS NULL THEN 'null' ELSE '"' || thumbnail || '"' END || '}'"""
+
+KEYED_SQL = f"WITH {POSTS} SELECT CAST(id AS VARCHAR) AS key, {_MESSAGE} AS value FROM posts"
+
+
+def narrow(df):
+    return df.select("id", "author", "category", "score", "thumbnail")
+
+
+@query(KEYED_SQL)
+def keyed_json(spark, folder):
+    return shape.keyed_json(narrow(posts(spark, folder)))
+
+
+@query(f"WITH {POSTS} SELECT {_MESSAGE} AS value FROM posts")
+def published_messages(spark, folder):
+    path = new_dir(spark, "messages")
+    writers.publish(narrow(posts(spark, folder)), "text", path)
+    return readers.read_any(spark, "text", path)
+
+
+@query(f"""
+WITH {POSTS} SELECT CASE WHEN id % 10 <> 0 THEN CAST(id AS VARCHAR) END AS id, id % 10 = 0 AS malformed,
+  CASE WHEN id % 10 <> 0 THEN thumbnail END AS thumbnail FROM posts
+""")
+def json_decode(spark, folder):
+    """Every tenth message is cut short and must come back as a malformed row of NULLs."""
+    messages = shape.keyed_json(records(spark, folder))
+    cut = F.when(F.col("key").cast("bigint") % 10 == 0, F.left("value", F.lit(40))).otherwise(F.col("value"))
+    decoded = shape.decode(messages.withColumn("value", cut), schemas.POST_EVENT)
+    return decoded.select("id", "malformed", "thumbnail")
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def csv_round_trip(spark, folder):
+    """Texts with line breaks and quotes survive a CSV export."""
+    path = new_dir(spark, "csv")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    writers.write_csv(docs, path)
+    return readers.read_csv(spark, path, docs.schema, multi_line=True)
+
+
+@query(f"""
+WITH {POSTS} SELECT CAST(id AS VARCHAR) AS id, category AS title, coalesce(num_comments, 0) AS num_comments,
+  NULL AS body, strftime(created, '%Y-%m-%d %H:%M:%S') AS created FROM posts
+UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, -1, text, NULL FROM documents
+""")
+def feeds_union(spark, folder):
+    """Two CSV feeds with different columns, one holding names that differ in case only."""
+    first, second = new_dir(spark, "feed"), new_dir(spark, "feed")
+    kept = posts(spark, folder).select(
+        F.col("id").alias("Unnamed: 0"), F.col("id").alias("ID"), F.col("category").alias("Title"),
+        F.concat("num_comments", F.lit(".0")).alias("num_comments"),
+        F.date_format("created", "yyyy-MM-dd HH:mm:ss").alias("creation_date"),
+    )
+    writers.write_csv(kept, first)
+    one_line = F.translate("text", "\n\r", "")
+    texts = table(spark, folder, "documents").where(one_line == F.col("text"))
+    writers.write_csv(texts.select(F.col("text").alias("Body"), F.col("doc_id").alias("ID")), second)
+    rest = table(spark, folder, "documents").where(one_line != F.col("text"))
+    feeds = prepare_posts(readers.read_feeds(spark, [first, second], schemas.POSTS_RAW))
+    both = feeds.select(
+        F.col("ID").alias("id"), F.col("Title").alias("title"), F.col("num_comments"),
+        F.col("Body").alias("body"), F.date_format("creation_timestamp", "yyyy-MM-dd HH:mm:ss").alias("created"),
+    ).unionByName(
+        rest.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("body")), allowMissingColumns=True
+    )
+    return both.withColumn("num_comments", F.coalesce("num_comments", F.lit(-1)))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def managed_table(spark, folder):
+    path = new_dir(spark, "table")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    writers.save_table(customers, "feedloom_customers", path)
+    return readers.read_table(spark, "feedloom_customers")
+
+
+@query(f"""
+WITH {POSTS} SELECT CAST(id AS VARCHAR) AS title, CAST(floor(score) AS BIGINT) AS score FROM posts
+ORDER BY score DESC, id LIMIT 100
+""")
+def batch_snapshot(spark, folder):
+    listing = posts(spark, folder).select(
+        F.col("id").cast("string").alias("title"), F.floor("score").alias("score"), "id"
+    )
+    path = writers.snapshot(
+        listing, new_dir(spark, "snapshots"), "2024-02-01_00-00-00", ["title", "score", "id"], [F.desc("score"), "id"]
+    )
+    return readers.read_csv(spark, path, listing.schema).drop("id")
+
+
+@query("SELECT doc_id, lang FROM documents UNION ALL SELECT page_id, 'page' FROM pages")
+def appended_csv(spark, folder):
+    path = new_dir(spark, "append")
+    docs = table(spark, folder, "documents").select("doc_id", "lang")
+    writers.append_csv(docs, path)
+    writers.append_csv(table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), F.lit("page").alias("lang")), path)
+    return readers.read_csv(spark, path, docs.schema)
+
+
+@query("""
+SELECT doc_id AS id, CAST(CAST(n_chars AS DECIMAL(38, 9)) AS VARCHAR) AS score FROM documents WHERE lang <> 'fr'
+""")
+def publish_latest(spark, folder):
+    """Valid records replace an earlier "latest" result."""
+    path = new_dir(spark, "latest")
+    score = F.when(F.col("lang") == "fr", F.lit("n/a")).otherwise(F.col("n_chars").cast("string"))
+    stored = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), *[score.alias(m) for m in schemas.RECORD_METRICS]
+    )
+    valid = valid_records(stored, ("id", *schemas.RECORD_METRICS)).select("id", "score")
+    writers.publish_latest(stored.select("id", "score"), path)
+    status = writers.publish_latest(valid, path)
+    if status["statusCode"] != 200:
+        raise RuntimeError(str(status["body"]))
+    return readers.read_csv(spark, path, stored.select("id", "score").schema)
+
+
+@query("SELECT o_orderpriority AS carrier, count(*) AS count, round(sum(l_extendedprice), 2) AS price FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
+def feature_files(spark, folder):
+    path = new_dir(spark, "features")
+    writers.write_features(flights(spark, folder).select("carrier", "price", "num_stops"), path, "carrier")
+    stored = readers.read_any(spark, "parquet", path)
+    return stored.groupBy("carrier").agg(F.count(F.lit(1)).alias("count"), F.round(F.sum("price"), 2).alias("price"))
+
+
+@query(f"""
+WITH {POSTS} SELECT author, id, category, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY author ORDER BY created DESC, id DESC) AS rn FROM posts) WHERE rn = 1
+""")
+def item_table(spark, folder):
+    """Three upserted batches, one of them repeated, with a compaction between."""
+    root = new_dir(spark, "items")
+    rows = posts(spark, folder).select("author", "id", "category", "score", "created")
+    day = F.dayofmonth("created")
+    thirds = [day <= 10, day.between(11, 20), day > 20]
+    for batch_id, part in enumerate(thirds):
+        items.upsert(rows.where(part), root, batch_id, ["author"], ["created", "id"])
+        if batch_id == 1:
+            items.compact(spark, root, 0, ["author"])
+            items.upsert(rows.where(part), root, batch_id, ["author"], ["created", "id"])
+    return items.read_items(spark, root, ["author"]).drop("created")

@@ -15,10 +15,10 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def posts(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as posts."""
+def as_posts(events: DataFrame) -> DataFrame:
+    """Events, batch or stream, as posts."""
     k = F.from_json("props", "k int")["k"]
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("author"),
         F.col("event_type").alias("category"),
@@ -30,6 +30,10 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def posts(spark: SparkSession, folder: str) -> DataFrame:
+    return as_posts(table(spark, folder, "events"))
+
+
 POSTS = """
 posts AS (
   SELECT event_id AS id, user_id AS author, event_type AS category, ts AS created, value AS score,
@@ -40,10 +44,9 @@ posts AS (
 )"""
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as stream records."""
-    p = posts(spark, folder)
-    return p.select(
+def as_records(events: DataFrame) -> DataFrame:
+    """Events, batch or stream, as stream records."""
+    return as_posts(events).select(
         F.col("id").cast("string").alias("id"),
         F.concat(F.lit("u"), "author").alias("author"),
         F.concat("category", F.lit(" isn't the BEST page, No. "), "num_comments", F.lit("! Café_"), "author").alias("title"),
@@ -61,6 +64,10 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def records(spark: SparkSession, folder: str) -> DataFrame:
+    return as_records(table(spark, folder, "events"))
+
+
 def title_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     """Polarities of the words in record titles, from the event types plus one adjective."""
     kinds = table(spark, folder, "events").select(F.col("event_type").alias("word")).distinct()

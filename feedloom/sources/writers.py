@@ -21,7 +21,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header per file. Arrays are written as JSON text."""
     arrays = [n for n, t in df.dtypes if t.startswith(("array", "struct", "map"))]
     plain = df.withColumns({c: F.to_json(c) for c in arrays}) if arrays else df
-    plain.write.mode(mode).options(header=True, escape='"').csv(path)
+    plain.write.mode(mode).options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def append_csv(df: DataFrame, path: str) -> None:
