@@ -89,7 +89,8 @@ def closing_time(opening: Column | str, hours: Column) -> Column:
         + hours * 60
     )
     wrapped = F.pmod(minutes, F.lit(1440))
-    return F.format_string("%02d:%02d", F.floor(wrapped / 60), F.pmod(wrapped, F.lit(60)))
+    clock = F.format_string("%02d:%02d", F.floor(wrapped / 60), F.pmod(wrapped, F.lit(60)))
+    return F.when(wrapped.isNotNull(), clock)
 
 
 def iso_duration_minutes(text: Column | str) -> Column:

@@ -73,8 +73,8 @@ def add_polarity(
     """Mean polarity of the tokens found in the lexicon, 0.0 if none is.
 
     A lexicon of checked size is looked up inside each row, without any shuffle, on
-    batches and streams alike. A larger one is joined: each distinct token list is
-    scored once and joined back, so copies of one text collapse before the shuffle.
+    batches and streams alike. A larger one is joined with the exploded tokens, and the
+    means come back by a digest of the token list, whose copies combine before the shuffle.
     """
     lexicon = lexicon.select("word", "polarity").dropna().dropDuplicates(["word"])
     if fits(lexicon, max_rows):
@@ -86,6 +86,8 @@ def add_polarity(
             F.size(found), F.lit(1)
         )
         return df.withColumn(out, mean).drop("_lexicon")
-    hits = df.select(tokens).distinct().select(tokens, F.explode(tokens).alias("word"))
-    scores = hits.join(lexicon, "word").groupBy(tokens).agg(F.avg("polarity").alias(out))
-    return df.join(scores, tokens, "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    keyed = df.withColumn("_digest", F.sha2(F.array_join(tokens, " "), 256))
+    words = keyed.select("_digest", F.explode(tokens).alias("word"))
+    scores = words.join(lexicon, "word").groupBy("_digest").agg(F.avg("polarity").alias(out))
+    scored = keyed.join(scores, "_digest", "left").drop("_digest")
+    return scored.withColumn(out, F.coalesce(out, F.lit(0.0)))

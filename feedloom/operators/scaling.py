@@ -7,7 +7,7 @@ from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from feedloom.operators.aggregates import count_by
-from feedloom.operators.lookups import fits
+from feedloom.operators.lookups import fits, lookup
 from feedloom.session import pinned
 
 LABEL_ROWS = 100_000
@@ -43,11 +43,27 @@ def category_index(df: DataFrame, column: str) -> DataFrame:
     return df.sparkSession.createDataFrame(numbered, schema)
 
 
+def with_index(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Add the category index as a double; NULL takes the number after the last label."""
+    labels = pinned(category_index(df, column), "label-index")
+    known = labels.select(column, F.col("index").cast("double").alias(out))
+    unknown = labels.agg(F.count(F.lit(1)).cast("double")).scalar()
+    return lookup(df, known, column).withColumn("_unknown", unknown).withColumn(
+        out, F.coalesce(out, "_unknown")
+    ).drop("_unknown")
+
+
 def fit_features(df: DataFrame, category: str, price: str) -> DataFrame:
-    """Category index, one-element price vector and scaled price by fitted feature stages."""
+    """Category index, one-element price vector and scaled price by fitted feature stages.
+
+    Fitting an indexer collects all labels, so a label set over its bound is joined instead.
+    """
     stages = [
-        StringIndexer(inputCol=category, outputCol="carrier_index", handleInvalid="keep"),
         VectorAssembler(inputCols=[price], outputCol="price_features", handleInvalid="keep"),
         MinMaxScaler(inputCol="price_features", outputCol="scaled_price"),
     ]
-    return Pipeline(stages=stages).fit(df).transform(df)
+    if fits(count_by(df, category), LABEL_ROWS):
+        indexer = StringIndexer(inputCol=category, outputCol="carrier_index", handleInvalid="keep")
+        return Pipeline(stages=[indexer, *stages]).fit(df).transform(df)
+    indexed = with_index(df, category, "carrier_index")
+    return Pipeline(stages=stages).fit(indexed).transform(indexed)

@@ -8,6 +8,7 @@ from feedloom.functions import numeric, temporal
 from feedloom.operators.lookups import convert_currency
 from feedloom.operators.scaling import fit_features
 from feedloom.operators.shape import flight_segments
+from feedloom.session import pinned
 
 
 def flight_table(offers: DataFrame, rates: DataFrame, currency: str | None = None) -> DataFrame:
@@ -31,5 +32,10 @@ def flight_table(offers: DataFrame, rates: DataFrame, currency: str | None = Non
 
 
 def flight_features(offers: DataFrame, rates: DataFrame, currency: str | None = None) -> DataFrame:
-    """Flight table plus carrier index and scaled price."""
-    return fit_features(flight_table(offers, rates, currency), "carrier_code", "price_in_zar")
+    """Flight table plus carrier index and scaled price.
+
+    The table is written once; fitting then reads single columns of it instead of
+    flattening and deduplicating the offers again for every stage.
+    """
+    flights = pinned(flight_table(offers, rates, currency), "flights")
+    return fit_features(flights, "carrier_code", "price_in_zar")

@@ -11,7 +11,7 @@ from feedloom.operators import aggregates as agg
 from feedloom.operators import lookups, quality, scaling, shape
 from feedloom.plans import flights as flight_plans
 from feedloom.plans import observations
-from feedloom.queries.registry import query, table
+from feedloom.queries.registry import query, spread_table, table
 from feedloom.queries.views import FLIGHTS, RATES_SQL, ROUTES, flights, rates, routes
 from feedloom.sources.readers import local_rows
 
@@ -201,7 +201,7 @@ def iso_duration(spark, folder):
         .when(form == 1, F.format_string("PT%dM", n))
         .otherwise(F.format_string("PT%dH%dM", n, "l_linenumber"))
     )
-    return table(spark, folder, "lineitem").select(
+    return spread_table(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_quantity").select(
         "l_orderkey",
         "l_linenumber",
         temporal.iso_duration_minutes(written).alias("minutes"),
@@ -219,8 +219,8 @@ UNION ALL SELECT s_suppkey, 'Wednesday', printf('%02d:00', c + 12), '00:00', fal
 def opening_hours(spark, folder):
     """Opening-hours texts written from supplier rows (thin spaces, dashes, two shifts), then parsed."""
     text = (
-        "Monday: Closed\nTuesday: %1$d:00 – %2$d:30 PM\n"
-        "Wednesday: %3$d:00 AM – %1$d:15 PM, %2$d:00 PM – 12:00 AM"
+        "Monday: Closed\nTuesday: %1$d:00\u2009\u2013\u2009%2$d:30\u202fPM\n"
+        "Wednesday: %3$d:00\u202fAM\u2009\u2013\u2009%1$d:15\u202fPM, %2$d:00\u202fPM\u2009\u2013\u200912:00\u202fAM"
     )
     opens, closes = F.col("s_suppkey") % 5 + 1, F.col("s_suppkey") % 5 + 6
     hours = F.format_string(text, opens, closes, opens + 6).alias("hours")
@@ -261,7 +261,8 @@ def _offers(spark, folder):
         F.struct(F.array(leg("CPT", "LAX", F.lit(2))).alias("segments")),
     )
     body = F.struct(trips.alias("itineraries"), F.struct(F.col("o_totalprice").cast("string").alias("grandTotal")).alias("price"))
-    return table(spark, folder, "orders").select(F.to_json(body).alias("value"), "o_orderstatus")
+    orders = spread_table(spark, folder, "orders", "o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    return orders.select(F.to_json(body).alias("value"))
 
 
 _SEGMENTS = """
@@ -343,7 +344,8 @@ def weather_documents(spark, folder):
         F.struct((F.col("user_id") % 100).cast("int").alias("all")).alias("clouds"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
     )
-    return table(spark, folder, "events").select(F.to_json(doc).alias("value"))
+    columns = ("event_id", "event_type", "value", "user_id", "ts")
+    return spread_table(spark, folder, "events", *columns).select(F.to_json(doc).alias("value"))
 
 
 WEATHER_SQL = """
@@ -380,7 +382,8 @@ def route_documents(spark, folder):
     empty = F.array_remove(F.array(summary(0)), summary(0))
     routes_ = F.when(F.col("l_partkey") % 10 == 0, empty).otherwise(F.array(summary(F.col("l_suppkey") % 2), summary(9)))
     doc = F.struct(routes_.alias("routes"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
-    return table(spark, folder, "lineitem").select(F.to_json(doc).alias("value"))
+    columns = ("l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate")
+    return spread_table(spark, folder, "lineitem", *columns).select(F.to_json(doc).alias("value"))
 
 
 ROUTE_SQL = """

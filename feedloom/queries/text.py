@@ -12,7 +12,7 @@ from feedloom.operators import lookups, shape
 from feedloom.operators.quality import contains_ci, valid_records
 from feedloom.plans.catalogue import Selectors, venue_catalogue
 from feedloom.plans.posts import text_features as text_features_plan
-from feedloom.queries.registry import query, table
+from feedloom.queries.registry import query, spread_table, table
 from feedloom.schemas import RECORD_METRICS, STOP_WORDS
 from feedloom.sources.readers import local_rows, page_urls
 
@@ -53,13 +53,14 @@ cleaned AS (
 
 
 def _cleaned(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "lang", "text")
     return docs.withColumn("cleaned_body", text.strip_stop_words(text.clean_post("text")))
 
 
 @query(f"WITH {_CLEANED} SELECT doc_id, clean AS cleaned_text FROM cleaned")
 def clean_text(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.clean_post("text").alias("cleaned_text"))
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    return docs.select("doc_id", text.clean_post("text").alias("cleaned_text"))
 
 
 @query(f"WITH {_CLEANED} SELECT doc_id, cleaned_body FROM stripped")
@@ -72,7 +73,8 @@ SELECT doc_id, title, array_to_string({_without_sql(_tokens_sql('title'), TITLE_
 FROM (SELECT doc_id, regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}_{_SPACE}]', '', 'g') AS title FROM documents)
 """)
 def normalise_title(spark, folder):
-    titles = table(spark, folder, "documents").select("doc_id", text.normalise_title("text").alias("title"))
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    titles = docs.select("doc_id", text.normalise_title("text").alias("title"))
     return titles.withColumn("title_tokens", F.array_join(text.title_tokens("title"), " "))
 
 
@@ -86,7 +88,8 @@ SELECT doc_id, bare, array_to_string({_tokens_sql(_CONTRACTED)}, '|') AS tokens
 FROM (SELECT doc_id, translate(lower(text), {_quoted(text.PUNCTUATION)}, '') AS bare FROM documents)
 """)
 def punctuation_and_tokens(spark, folder):
-    bare = table(spark, folder, "documents").select("doc_id", text.strip_punctuation("text").alias("bare"))
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    bare = docs.select("doc_id", text.strip_punctuation("text").alias("bare"))
     return bare.withColumn("tokens", F.array_join(text.word_tokens("bare"), "|"))
 
 
@@ -137,7 +140,7 @@ WITH {_CLEANED}, words AS (SELECT doc_id, unnest(string_split(clean, ' ')) AS wo
 SELECT doc_id, word, count(*) AS count FROM words WHERE word NOT IN ({_word_list(TITLE_STOP_WORDS)}) GROUP BY 1, 2
 """)
 def stop_word_anti_join(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
     words = docs.select("doc_id", F.explode(F.split(text.clean_post("text"), " ")).alias("word"))
     stops = local_rows(spark, [(w,) for w in TITLE_STOP_WORDS], STOP_WORDS)
     return agg.count_by(lookups.drop_stop_rows(words, stops), "doc_id", "word")
@@ -161,8 +164,9 @@ SELECT doc_id, round(coalesce(mean, 0), 6) AS sentiment FROM documents LEFT JOIN
 
 
 def _sentiment(spark, folder, max_rows):
-    docs = table(spark, folder, "documents").select("doc_id", text.space_tokens(text.normalise_title("text")).alias("words"))
-    scored = lookups.add_polarity(docs, "words", _document_lexicon(spark, folder), max_rows=max_rows)
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    titled = docs.select("doc_id", text.space_tokens(text.normalise_title("text")).alias("words"))
+    scored = lookups.add_polarity(titled, "words", _document_lexicon(spark, folder), max_rows=max_rows)
     return scored.select("doc_id", F.round("sentiment", 6).alias("sentiment"))
 
 
@@ -180,14 +184,13 @@ def sentiment_large_lexicon(spark, folder):
 @query()
 def stem_vocabulary(spark, folder):
     """Each distinct word is stemmed once, after the counts are combined."""
-    counts = agg.word_counts(_cleaned(spark, folder), "lang", "cleaned_body", keep_empty=False)
-    vocabulary = counts.groupBy("word").agg(F.sum("count").alias("count"))
-    return vocabulary.withColumn("stem", stem_word("word"))
+    words = _cleaned(spark, folder).select(F.explode(text.space_tokens("cleaned_body")).alias("word"))
+    return agg.count_by(words, "word").withColumn("stem", stem_word("word"))
 
 
 @query()
 def text_features(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
     done = text_features_plan(docs, "text")
     return done.select("doc_id", "cleaned_body", "tokens", "stems", "tokens_nostop")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedloom import schemas
-from feedloom.queries.registry import table
+from feedloom.queries.registry import spread_table, table
 from feedloom.sources.readers import local_rows
 
 AS_OF = "2024-02-01 00:00:00"
@@ -65,7 +65,7 @@ def as_records(events: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
-    return as_records(table(spark, folder, "events"))
+    return as_records(spread_table(spark, folder, "events", "event_id", "user_id", "event_type", "ts", "value", "props"))
 
 
 def title_lexicon(spark: SparkSession, folder: str) -> DataFrame:

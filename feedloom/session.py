@@ -59,3 +59,12 @@ def pinned(df: DataFrame, name: str = "pinned") -> DataFrame:
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a source of fewer splits than cores more partitions ahead of CPU-heavy work.
+
+    A table large enough to fill the cluster keeps its own splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -12,6 +12,7 @@ from feedloom.operators.quality import decimals
 from feedloom.operators.shape import decode
 from feedloom.plans.posts import enrich, is_usable
 from feedloom.schemas import POST_EVENT
+from feedloom.session import spread
 from feedloom.sources.items import upsert
 from feedloom.streaming.activity import counted_batch
 
@@ -55,14 +56,15 @@ def post_batch(
     posts, authors = f"{items}/posts", f"{items}/authors"
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        parsed = decode(messages, POST_EVENT).persist()
+        parsed = decode(spread(messages), POST_EVENT)
         usable = F.coalesce(is_usable(F.col("malformed")), F.lit(False))
-        good = enrich(parsed.where(usable).drop("raw", "malformed"), lexicon, as_of)
-        rejected = parsed.where(~usable).select("raw")
+        enriched = enrich(parsed.withColumn("usable", usable), lexicon, as_of).persist()
+        rejected = enriched.where(~F.col("usable")).select("raw")
         rejected.write.mode("overwrite").parquet(f"{items}/rejected/batch_id={batch_id}")
+        good = enriched.where("usable").drop("raw", "malformed", "usable")
         done = counted_batch(good, authors, batch_id)
         upsert(decimals(done), posts, batch_id, ["id"], ["created_time", "author_activity_count"])
         anomalies(good).write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
-        parsed.unpersist()
+        enriched.unpersist()
 
     return handle
