@@ -14,6 +14,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ingest_time(as_of: Column | None = None) -> Column:
+    """The time a row is taken in: now, or a given time so that a run can be repeated."""
+    return F.current_timestamp() if as_of is None else as_of
+
+
 def parse_stamp(text: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text to timestamp; anything else is NULL."""
     return F.try_to_timestamp(_col(text), F.lit(STAMP))

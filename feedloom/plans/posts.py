@@ -9,10 +9,6 @@ from feedloom.functions.stemmer import stem_tokens
 from feedloom.operators.lookups import add_polarity
 from feedloom.operators.quality import null_sentinels
 
-# Columns the analysis table does not keep.
-DROPPED = ("Unnamed: 0", "is_original")
-
-
 def prepare_posts(raw: DataFrame) -> DataFrame:
     """Raw text posts to typed posts: missing texts to NULL, counts to int, creation time parsed."""
     return null_sentinels(raw).withColumns(
@@ -57,7 +53,7 @@ def enrich(events: DataFrame, lexicon: DataFrame, as_of: Column | None = None) -
 
     Works on a batch or a stream. ``as_of`` is the time ages refer to, now by default.
     """
-    as_of = F.current_timestamp() if as_of is None else as_of
+    as_of = temporal.ingest_time(as_of)
     created = F.col("_created")
     score = F.coalesce("score", F.lit(0))
     comments = F.coalesce("num_comments", F.lit(0))
@@ -68,14 +64,13 @@ def enrich(events: DataFrame, lexicon: DataFrame, as_of: Column | None = None) -
             "title": text.normalise_title("title"),
             "flair_text": F.lower("flair_text"),
         }
-    )
+    ).withColumn("_words", text.space_tokens("title"))
     featured = base.withColumns(
         {
             "created_time": temporal.utc_text(created),
             "score": score,
             "num_comments": comments,
-            "title_tokens": text.title_tokens("title"),
-            "_words": text.space_tokens("title"),
+            "title_tokens": text.without_words(F.col("_words"), text.TITLE_STOP_WORDS),
             "post_age_minutes": temporal.age_minutes(created, as_of),
             "popularity_score": numeric.popularity(score, ratio, comments),
             "post_type": numeric.post_type("thumbnail"),

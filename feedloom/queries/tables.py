@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators import shape
 from feedloom.operators.quality import valid_records
+from feedloom.plans.logistics import offer_durations, split_logistics
 from feedloom.plans.posts import prepare_posts
 from feedloom.queries.registry import query, table
 from feedloom.queries.views import POSTS, flights, posts, records
@@ -157,3 +158,40 @@ def item_table(spark, folder):
             items.compact(spark, root, 0, ["author"])
             items.upsert(rows.where(part), root, batch_id, ["author"], ["created", "id"])
     return items.read_items(spark, root, ["author"]).drop("created")
+
+
+@query("""
+SELECT 'offers' AS part, count(*) AS rows, round(sum(o_totalprice), 2) AS total,
+       CAST(sum(61) AS BIGINT) AS stated_minutes FROM orders
+UNION ALL SELECT 'weather', count(*), round(sum(value), 2), 0 FROM events
+UNION ALL SELECT 'routes', count(*), CAST(sum(s_suppkey) AS DOUBLE), 0 FROM supplier
+""")
+def logistics_split(spark, folder):
+    """Orders, events and suppliers written as one sparse logistics file, read back and split."""
+    offers = table(spark, folder, "orders").select(
+        F.col("o_totalprice").alias("Price"), F.lit("PT1H1M").alias("Duration"), F.lit("KL").alias("Airline"),
+        F.col("o_orderdate").cast("timestamp").alias("Departure Time"),
+    )
+    weather = table(spark, folder, "events").select(
+        F.col("ts").cast("timestamp").alias("Time"), F.col("value").alias("Temperature (C)")
+    )
+    routes = table(spark, folder, "supplier").select(
+        F.lit("N/A").alias("Traffic Level"), F.col("s_suppkey").cast("double").alias("Distance (meters)")
+    )
+    empty = readers.local_rows(spark, [], schemas.LOGISTICS_WIDE)
+    path = new_dir(spark, "logistics")
+    writers.write_csv(shape.union_all([empty, offers, weather, routes]), path)
+    parts = split_logistics(readers.read_csv(spark, path, schemas.LOGISTICS_WIDE))
+    stated = F.sum("stated_minutes").alias("stated_minutes")
+
+    def summary(name, df, column, *more):
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(column), 2).alias("total"), *more).select(
+            F.lit(name).alias("part"), "*"
+        )
+
+    rows = shape.union_all([
+        summary("offers", offer_durations(parts["offers"]), "Price", stated),
+        summary("weather", parts["weather"], "`Temperature (C)`"),
+        summary("routes", parts["routes"].where("`Traffic Level` IS NULL"), "`Distance (meters)`"),
+    ])
+    return rows.withColumn("stated_minutes", F.coalesce("stated_minutes", F.lit(0)))

@@ -15,6 +15,10 @@ SETTINGS = {
     # A hot join key is split even where that costs a later stage one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.caseSensitive": "false",
+    # Streaming state lives on disk next to its executor, not on the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 
