@@ -170,9 +170,11 @@ def category_index(spark, folder):
     return scaling.category_index(flights(spark, folder).select("carrier"), "carrier")
 
 
-@query("SELECT min(value) AS min, max(value) AS max FROM events")
+@query("SELECT min(value) + 0.0::DOUBLE AS min, max(value) + 0.0::DOUBLE AS max FROM events")
 def min_max(spark, folder):
-    return scaling.min_max(table(spark, folder, "events"), "value")
+    """Bounds of a column; adding zero turns -0.0 into 0.0, which compare as equal."""
+    bounds = scaling.min_max(table(spark, folder, "events"), "value")
+    return bounds.select(*[(F.col(c) + F.lit(0.0)).alias(c) for c in bounds.columns])
 
 
 @query("""

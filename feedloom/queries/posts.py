@@ -32,11 +32,11 @@ def score_per_category(spark, folder):
 
 
 @query("""
-SELECT left(text, 40) AS title, CAST(sum(n_chars) AS BIGINT) AS num_of_upvotes
+SELECT text AS title, CAST(sum(n_chars) AS BIGINT) AS num_of_upvotes
 FROM documents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
 def top10_titles(spark, folder):
-    titles = table(spark, folder, "documents").select(F.left("text", F.lit(40)).alias("title"), "n_chars")
+    titles = table(spark, folder, "documents").select(F.col("text").alias("title"), "n_chars")
     return agg.top_n(agg.sum_by(titles, "title", "n_chars", "num_of_upvotes"), 10, "num_of_upvotes", "title")
 
 

@@ -41,10 +41,10 @@ WITH {POSTS} SELECT CASE WHEN id % 10 <> 0 THEN CAST(id AS VARCHAR) END AS id, i
   CASE WHEN id % 10 <> 0 THEN thumbnail END AS thumbnail FROM posts
 """)
 def json_decode(spark, folder):
-    """Every tenth message is cut short and must come back as a malformed row of NULLs."""
+    """Every tenth message is broken and must come back as a malformed row of NULLs."""
     messages = shape.keyed_json(records(spark, folder))
-    cut = F.when(F.col("key").cast("bigint") % 10 == 0, F.left("value", F.lit(40))).otherwise(F.col("value"))
-    decoded = shape.decode(messages.withColumn("value", cut), schemas.POST_EVENT)
+    broken = F.when(F.col("key").cast("bigint") % 10 == 0, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+    decoded = shape.decode(messages.withColumn("value", broken), schemas.POST_EVENT)
     return decoded.select("id", "malformed", "thumbnail")
 
 

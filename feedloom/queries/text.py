@@ -229,7 +229,10 @@ def safe_cast_metrics(spark, folder):
     return valid.select("id", *[F.col(m).cast("string").alias(m) for m in RECORD_METRICS])
 
 
-_TEXT_SQL = "nullif(trim(replace(regexp_replace(%s, '\\s*<[^>]+>\\s*', '', 'g'), '&amp;', '&')), '')"
+_TEXT_SQL = "regexp_replace(%s, '\\s*<[^>]+>\\s*', '', 'g')"
+for _mark, _plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    _TEXT_SQL = f"replace({_TEXT_SQL}, '{_mark}', '{_plain}')"
+_TEXT_SQL = f"nullif(trim({_TEXT_SQL}), '')"
 
 
 @query(f"""
