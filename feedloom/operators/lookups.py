@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedloom.operators.shape import exploded
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 LEXICON_ROWS = 20_000
@@ -87,7 +89,7 @@ def add_polarity(
         )
         return df.withColumn(out, mean).drop("_lexicon")
     keyed = df.withColumn("_digest", F.sha2(F.array_join(tokens, " "), 256))
-    words = keyed.select("_digest", F.explode(tokens).alias("word"))
+    words = exploded(keyed, tokens, "word", "_digest")
     scores = words.join(lexicon, "word").groupBy("_digest").agg(F.avg("polarity").alias(out))
     scored = keyed.join(scores, "_digest", "left").drop("_digest")
     return scored.withColumn(out, F.coalesce(out, F.lit(0.0)))

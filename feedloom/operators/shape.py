@@ -47,12 +47,19 @@ def zip_lists(df: DataFrame, keep: list[str], lists: list[str]) -> DataFrame:
     )
 
 
+def exploded(df: DataFrame, array: str, out: str, *keep: str | Column) -> DataFrame:
+    """One row per array element that is not NULL.
+
+    A plain explode makes the planner test the array's size below, which parses or builds
+    the array a second and third time when it is a computed column.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
+
+
 def flight_segments(offers: DataFrame, *keep: str) -> DataFrame:
     """Flight offers to one row per segment, with the offer's price on each."""
-    trips = offers.select(
-        *keep, F.col("price.grandTotal").alias("_price"), F.explode("itineraries").alias("_trip")
-    )
-    legs = trips.select(*keep, "_price", F.explode("_trip.segments").alias("s"))
+    trips = exploded(offers, "itineraries", "_trip", *keep, F.col("price.grandTotal").alias("_price"))
+    legs = exploded(trips, "_trip.segments", "s", *keep, "_price")
     return legs.select(
         *keep,
         F.col("s.departure.iataCode").alias("origin"),
@@ -68,7 +75,7 @@ def flight_segments(offers: DataFrame, *keep: str) -> DataFrame:
 
 def destinations(response: DataFrame) -> DataFrame:
     """Destination lists to one row per destination."""
-    return response.select(F.explode("data").alias("d")).select(
+    return exploded(response, "data", "d").select(
         F.col("d.origin").alias("Origin"),
         F.col("d.destination").alias("Destination"),
         F.col("d.departureDate").alias("DepartureDate"),

@@ -282,6 +282,16 @@ def test_nested_documents(spark):
     assert (rows[1]["distance_km"], rows[1]["is_high_traffic"], rows[1]["timestamp"]) == (None, 0, None)
 
 
+def test_documents_are_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "value string")
+    for flat in (
+        shape.flight_segments(shape.decode(df, schemas.FLIGHT_OFFER)),
+        shape.destinations(shape.decode(df, schemas.FLIGHT_DESTINATIONS)),
+    ):
+        assert plan_of(flat).count("from_json") == 1
+        assert flat.count() == 0
+
+
 def test_zip_of_uneven_lists(spark):
     df = spark.createDataFrame([(1, ["a", "b"], ["x"])], "id int, l array<string>, r array<string>")
     assert tuples(shape.zip_lists(df, ["id"], ["l", "r"])) == [(1, 0, "a", "x"), (1, 1, "b", None)]
