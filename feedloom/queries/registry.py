@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,10 +16,15 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+    """Register a function under its own name; it runs with times in UTC."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def in_utc(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return run(spark, folder)
+
+        QUERIES[run.__name__] = in_utc
         if sql is not None:
             ORACLES[run.__name__] = sql
         return run
