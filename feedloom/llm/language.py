@@ -35,11 +35,14 @@ GRAMS = (1, 2, 3, 4)
 REJECT_SHARE = 0.4
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+# ASCII characters that are no letters become spaces: marks and digits say nothing about a language.
+LETTERS_ONLY = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """Hashed counts of the byte n-grams of a lower-cased text."""
-    data = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
+    """Hashed counts of the byte n-grams of a lower-cased text, over its letters and single spaces."""
+    words = text.lower().encode("utf-8", "replace").translate(LETTERS_ONLY).split()
+    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
     total = np.zeros(BUCKETS, np.float32)
     code = np.zeros(len(data), np.uint32)
     for n in range(1, max(GRAMS) + 1):

@@ -15,8 +15,9 @@ ids, are packed as documents of their own. An empty table gives an empty result;
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,9 +35,10 @@ SLACK = 16
 FAN_IN = 8
 BLOCK_ITEMS = 200_000
 PASS_BINS = 4096
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
-Encoder = Callable[[list[str]], list[bytes]]
+# Letters or digits followed by ASCII marks other than the apostrophe.
+TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
 
 
 class WordEncoder:
@@ -54,15 +56,24 @@ class WordEncoder:
             raise ValueError("only tokenizers that split at white space are handled")
         self.cache: dict[bytes, bytes] = {}
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Add new words to the cache. A tail of plain marks is a token group of its own and is looked up apart."""
+        tails = {w: m for w in words if b"<|" not in w and (m := TAIL(w))}
+        parts = {m[g] for m in tails.values() for g in (1, 2)} | {w for w in words if w not in tails}
+        new = list(parts - self.cache.keys())
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        self.cache.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+        for w, m in tails.items():
+            self.cache[w] = self.cache[m[1]] + self.cache[m[2]]
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts]
+        # The tokenizer lower-cases; special tokens keep their case and are left alone.
+        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         missing = list({w for words in cut for w in words} - self.cache.keys())
         for i in range(0, len(missing), 20_000):
-            part = missing[i:i + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.cache.update(zip(part, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+            self._learn(missing[i:i + 20_000])
         get = self.cache.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 

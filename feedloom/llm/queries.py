@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import language, packing, pieces, url_filter
+from feedloom.llm import exact_dedup, language, packing, pieces, topk_search, url_filter
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,37 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query(r"""
+WITH coded AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings
+), near AS (
+    SELECT q.vec_id AS query_id, e.vec_id,
+        CAST(len(list_filter(list_zip(q.code, e.code), lambda p: p[1] <> p[2])) AS INTEGER) AS distance
+    FROM coded q JOIN coded e ON q.vec_id <> e.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM near)
+WHERE rank <= 10
+""")
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query(r"""
+WITH digests AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM digests
+WINDOW same AS (PARTITION BY text_sha256)
+""".replace("\\\\", "\\"))
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.dedup(documents(spark, folder))
+
+
 @query()
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest_pieces(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
