@@ -25,8 +25,8 @@ from feedloom.session import pinned
 K = 10
 QUERY_STEP = 50
 WORD = 32
-# Radii that are probed in all segments at once.
-WHOLE_RADII = 2
+# A radius of at most so many probes a query is searched in all segments at once.
+WHOLE_PROBES = 4096
 
 
 def sign_words(vector: Column, dims: int) -> Column:
@@ -69,7 +69,7 @@ def probe_steps(sizes: list[int]) -> list[tuple[int, list[int], int]]:
     """(radius, segments, distance covered after it): whole radii while they are cheap, then single segments."""
     steps, m = [], len(sizes)
     for radius in range(max(sizes) + 1):
-        if radius < WHOLE_RADII:
+        if sum(math.comb(size, radius) for size in sizes) <= WHOLE_PROBES:
             steps.append((radius, list(range(m)), m * (radius + 1) - 1))
         else:
             steps += [(radius, [s], m * radius + s) for s in range(m)]
