@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 
 from feedloom.session import new_dir, pinned
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore."
+# State on disk, checkpointed by its changes; many small stores reserve no disk ahead.
+STATE_SETTINGS = {
+    STATE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    STATE + "rocksdb.allowFAllocate": "false",
+}
 # Digest files of one micro-batch.
 FILES_PER_BATCH = 16
 
@@ -47,8 +53,9 @@ def first_seen(spark: SparkSession, folder: str, files_per_batch: int = FILES_PE
     """Stream the digest files; per key the smallest id, its locator and the number of rows."""
     work = new_dir(spark, "exact")
     schema = spark.read.parquet(folder).schema
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")
     state = rows.groupBy("key").agg(F.min(by_id).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -63,7 +70,8 @@ def first_seen(spark: SparkSession, folder: str, files_per_batch: int = FILES_PE
         )
         job.awaitTermination()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     if job.lastProgress is None and not job.recentProgress:
         return spark.createDataFrame([], state.schema)
     # The last word on a key is the one with the most rows.
