@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, language, packing, pieces, topk_search, url_filter
+from feedloom.llm import exact_dedup, language, line_dedup, packing, pieces, topk_search, url_filter
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,35 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query(r"""
+WITH lines AS (
+    SELECT doc_id, line, raw, trim(regexp_replace(raw, '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS clean
+    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents)
+), counted AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id) AS total,
+        sum(words) OVER (PARTITION BY doc_id ORDER BY line) - words AS before
+    FROM (SELECT *, len(string_split(clean, ' ')) AS words FROM lines WHERE clean <> '')
+), spans AS (
+    SELECT doc_id, line, max(line) OVER span AS last, array_to_string(list(clean) OVER span, chr(10)) AS run, total - before AS ahead
+    FROM counted
+    WINDOW span AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), later AS (
+    SELECT doc_id, line, last FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS nth FROM spans WHERE ahead >= 50
+    ) WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(line, last)) AS line FROM later
+)
+SELECT l.doc_id AS doc_id, count(*) AS n_lines, count(g.line) AS n_deleted,
+    sha256(coalesce(string_agg(raw, chr(10) ORDER BY l.line) FILTER (WHERE g.line IS NULL), '')) AS left_sha256
+FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line
+GROUP BY l.doc_id
+""")
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, folder))
+
+
 @query(r"""
 WITH coded AS (
     SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings
