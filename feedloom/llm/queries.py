@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, language, line_dedup, packing, pieces, topk_search, url_filter
+from feedloom.llm import exact_dedup, language, line_dedup, lm, packing, pieces, topk_search, url_filter
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, folder))
 
 
+@query()
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(documents(spark, folder))
+
+
 @query()
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest_pieces(documents(spark, folder), tokenizer_file("piece_bpe_32k.model"))
