@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, language, line_dedup, lm, packing, pieces, topk_search, url_filter
+from feedloom.llm import exact_dedup, language, line_dedup, lm, near_dedup, packing, pieces, topk_search, url_filter
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,6 +133,11 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_pages(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+@query()
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, folder))
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
