@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, language, line_dedup, lm, near_dedup, packing, pieces, topk_search, url_filter
+from feedloom.llm import exact_dedup, language, line_dedup, lm, near_dedup, packing, pieces, pii, topk_search, url_filter
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, folder))
 
 
+@query()
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(documents(spark, folder))
+
+
 @query(r"""
 WITH coded AS (
     SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings
