@@ -4,8 +4,8 @@ Documents with one shingle set are one class; classes with at least one shingle
 values, cut into bands. Classes that share a band are candidates. Within each band bucket their
 signatures of ``SIGNATURE`` bytes are compared in batches of growing length: after every batch a pair goes as soon
 as the posterior probability of a similarity of at least the threshold is below ``MISS``. Pairs already in
-one component are not compared, and of the survivors only a spanning forest of the bucket is confirmed on the
-full sets. Rounds repeat, without the pairs that failed, until no bucket has a survivor.
+one component are not compared, and of the survivors each member sends a bounded number to the exact check on
+the full sets. Rounds repeat with a growing number, without the pairs that failed, until no bucket has a survivor.
 
 A bucket is dealt out in chunks of at most ``CHUNK`` members, each with the bucket's smallest member. What stays
 apart from that member's component is compared across chunks in later rounds.
@@ -37,10 +37,14 @@ from feedloom.session import pinned
 WORDS = 5
 PERCENT = 75
 ROWS, BANDS = 6, 50
-SIGNATURE = 128
-STEPS = (16, 32, 64, 128)
+SIGNATURE = 256
+STEPS = (16, 32, 64, 128, 256)
 MISS = 1e-6
 CHUNK = 4096
+# Survivors with this share of equal bytes count as linked within a round. Of the others a member sends so many to
+# the exact check in the first round, and GROWTH times more in each later one.
+SURE = 0.87
+TRIES, GROWTH = 4, 8
 CACHE_WORDS = 500_000
 # Text numbers (8 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -127,8 +131,8 @@ def least_matches() -> list[tuple[int, int]]:
     return needed
 
 
-def similar(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Which of ``many`` signatures survive all batches against ``one`` (or row by row)."""
+def similar(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``many`` signatures survive all batches against ``one`` (or row by row), and whether surely."""
     alive, start = np.arange(len(many)), 0
     matches = np.zeros(len(many), np.int64)
     for n, least in least_matches():
@@ -136,7 +140,7 @@ def similar(one: np.ndarray, many: np.ndarray) -> np.ndarray:
         matches = matches + (many[alive, start:n] == left).sum(1)
         keep = matches >= least
         alive, matches, start = alive[keep], matches[keep], n
-    return alive
+    return alive, matches >= SURE * SIGNATURE
 
 
 class Forest:
@@ -156,28 +160,44 @@ class Forest:
         return a != b
 
 
-def bucket_links(node, comp, size, sign, probe, failed) -> list[tuple[int, int]]:
-    """Spanning pairs of one chunk: survivors between different components, each component pair once.
+class Picker:
+    """Chooses the pairs of one chunk that go to the exact check."""
 
-    ``probe`` marks the members that are compared with all others.
-    """
-    forest, links = Forest(), []
-    comp = comp.copy()
+    def __init__(self, failed: set, tries: int):
+        self.forest, self.links, self.failed, self.tries = Forest(), [], failed, tries
+        self.tried: dict[int, int] = {}
+
+    def offer(self, one: int, two: int, one_comp: int, two_comp: int, sure: bool) -> None:
+        pair = (min(one, two), max(one, two))
+        if pair in self.failed or self.forest.root(one_comp) == self.forest.root(two_comp):
+            return
+        if sure:
+            self.forest.join(one_comp, two_comp)
+        elif min(self.tried.get(one, 0), self.tried.get(two, 0)) >= self.tries:
+            return
+        else:
+            for x in pair:
+                self.tried[x] = self.tried.get(x, 0) + 1
+        self.links.append(pair)
+
+
+def bucket_links(node, comp, size, sign, probe, failed, tries) -> list[tuple[int, int]]:
+    """Pairs to check of one chunk; ``probe`` marks the members that are compared with all others."""
+    picker, comp = Picker(failed, tries), comp.copy()
     for i in np.flatnonzero(probe).tolist():
         later = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(node)) > i)))
         fits = (np.minimum(size[later], size[i]) * 100 >= PERCENT * np.maximum(size[later], size[i]))
         later = later[fits]
-        for j in later[similar(sign[i], sign[later])].tolist():
-            pair = (min(node[i], node[j]), max(node[i], node[j]))
-            if pair not in failed and forest.join(comp[i], comp[j]):
-                links.append(pair)
-        # Members joined to this one are not compared with it again.
-        if forest.parent:
-            comp = np.array([forest.root(c) for c in comp.tolist()])
-    return links
+        alive, sure = similar(sign[i], sign[later])
+        for j, s in zip(later[alive].tolist(), sure.tolist(), strict=True):
+            picker.offer(int(node[i]), int(node[j]), int(comp[i]), int(comp[j]), s)
+        # Members surely joined to this one are not compared with it again.
+        if sure.any():
+            comp = np.array([picker.forest.root(c) for c in comp.tolist()])
+    return picker.links
 
 
-def small_links(node, comp, size, sign, bucket, failed) -> list[tuple[int, int]]:
+def small_links(node, comp, size, sign, bucket, failed, tries) -> list[tuple[int, int]]:
     """The same for many small buckets at once: their pairs are compared row by row."""
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     length = np.diff(np.append(first, len(bucket)))
@@ -187,17 +207,15 @@ def small_links(node, comp, size, sign, bucket, failed) -> list[tuple[int, int]]
     keep = (comp[left] != comp[right]) & (
         np.minimum(size[left], size[right]) * 100 >= PERCENT * np.maximum(size[left], size[right]))
     left, right = left[keep], right[keep]
-    alive = []
+    pickers: dict[int, Picker] = {}
     for i in range(0, len(left), 200_000):
-        alive.append(i + similar(sign[left[i:i + 200_000]], sign[right[i:i + 200_000]]))
-    found = np.concatenate(alive) if alive else np.empty(0, np.int64)
-    links, forests = [], {}
-    ends = (bucket[left[found]], node[left[found]], node[right[found]], comp[left[found]], comp[right[found]])
-    for b, one, two, one_comp, two_comp in zip(*(x.tolist() for x in ends), strict=True):
-        pair = (min(one, two), max(one, two))
-        if pair not in failed and forests.setdefault(b, Forest()).join(one_comp, two_comp):
-            links.append(pair)
-    return links
+        alive, sure = similar(sign[left[i:i + 200_000]], sign[right[i:i + 200_000]])
+        one, two = left[i + alive], right[i + alive]
+        for b, *pair in zip(*(x.tolist() for x in (bucket[one], node[one], node[two], comp[one], comp[two], sure)), strict=True):
+            if b not in pickers:
+                pickers[b] = Picker(failed, tries)
+            pickers[b].offer(*pair)
+    return [pair for picker in pickers.values() for pair in picker.links]
 
 
 def first_of_each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -227,7 +245,7 @@ def signatures(texts: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["row"])
 
 
-def _candidates(members: DataFrame) -> DataFrame:
+def _candidates(members: DataFrame, tries: int) -> DataFrame:
     """Surviving pairs of the chunks: (bucket, chunk, node, comp, size, sign, probe, failed), sorted by chunk."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,11 +259,11 @@ def _candidates(members: DataFrame) -> DataFrame:
             # Chunks whose members all probe and are few go together.
             plain = few & (np.bincount(each, ~cols["probe"])[each] == 0)
             if plain.any():
-                found.update(small_links(*(cols[c][plain] for c in ("node", "comp", "size", "sign")), each[plain], failed))
+                found.update(small_links(*(cols[c][plain] for c in ("node", "comp", "size", "sign")), each[plain], failed, tries))
             for f, n in zip(first.tolist(), length.tolist(), strict=True):
                 if not plain[f]:
                     part = slice(f, f + n)
-                    found.update(bucket_links(*(cols[c][part] for c in ("node", "comp", "size", "sign", "probe")), failed))
+                    found.update(bucket_links(*(cols[c][part] for c in ("node", "comp", "size", "sign", "probe")), failed, tries))
             return found
 
         def columns(held: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], set]:
@@ -289,7 +307,6 @@ def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [shingle_set(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    wanted = pinned(wanted, "wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     rows = texts.join(side, texts["row"] == side["node"], "left_semi").select("row", "text")
     return rows.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
@@ -327,7 +344,7 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     dealt = pinned(rows.join(buckets, "bucket").select("bucket", "n", "pivot", "node", own.alias("chunks")), "buckets")
     narrow = pinned(reps.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "size", "sign"), "narrow")
     failed = None
-    confirmed: list[DataFrame] = []
+    touched = None
     state = narrow.select("node", F.col("node").alias("comp"))
     round_number = 0
     while True:
@@ -341,32 +358,34 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
             # Every member of a chunk is compared with every other; the pivot is in all chunks.
             members = members.withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
         else:
-            members = _open_members(members, chunk)
+            members = _open_members(members, touched, chunk)
         members = members.join(narrow, "node")
         members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "probe", "failed")
         found = members.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node")
-        pairs = pinned(_candidates(found), "pairs")
+        pairs = pinned(_candidates(found, TRIES * GROWTH ** round_number), "pairs")
         if pairs.isEmpty():
             break
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = pinned(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
         sets = pinned(_sets_of(texts, wanted), "sets")
         checked = pinned(_confirmed(pairs, sets), "checked")
         new = checked.filter("linked").select("a", "b")
         missed = checked.filter("not linked").select("a", "b")
-        failed = missed if failed is None else pinned(failed.unionByName(missed).distinct(), "failed")
-        confirmed.append(new)
-        all_links = confirmed[0]
-        for part in confirmed[1:]:
-            all_links = all_links.unionByName(part)
-        groups = pinned(components(all_links), "groups")
-        state = pinned(narrow.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "state")
+        failed = missed if failed is None else failed.unionByName(missed)
+        touched = wanted
+        # Only the new links, between components, are contracted.
+        one, two = state.select(F.col("node").alias("a"), F.col("comp").alias("x")), state.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+        between = new.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        merged = components(between).select(F.col("node").alias("comp"), "component")
+        state = pinned(state.join(merged, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "state")
         round_number += 1
-    for part in confirmed:
-        links = links.unionByName(part)
-    return signs, pinned(components(links), "components")
+    # Classes of equal sets carry the component of their smallest row.
+    last = state.select("node", "comp")
+    spread = links.select(F.col("a").alias("row"), F.col("b").alias("node")).join(last, "node", "left")
+    spread = spread.select(F.col("row").alias("node"), F.coalesce("comp", "node").alias("component"))
+    return signs, last.select("node", F.col("comp").alias("component")).unionByName(spread)
 
 
-def _open_members(members: DataFrame, chunk: int) -> DataFrame:
+def _open_members(members: DataFrame, touched: DataFrame, chunk: int) -> DataFrame:
     """Members of buckets with several components, dealt so that outsiders meet all.
 
     Outsiders are members apart from the component of the pivot. They come in blocks; a chunk of members and
@@ -374,10 +393,11 @@ def _open_members(members: DataFrame, chunk: int) -> DataFrame:
     """
     pivots = members.filter("node = pivot").select("bucket", F.col("comp").alias("main"))
     marked = members.join(pivots, "bucket").withColumn("probe", F.col("comp") != F.col("main"))
+    marked = marked.join(touched.withColumn("touched", F.lit(1)), "node", "left")
     counts = marked.groupBy("bucket").agg(
-        F.count_if("probe").alias("outside"), F.count("failed").alias("missed"), F.max("n").alias("all"))
-    # A bucket of one chunk has been compared completely, unless one of its pairs failed.
-    again = counts.filter((F.col("outside") > 0) & ((F.col("missed") > 0) | (F.col("all") > chunk))).select("bucket", "outside")
+        F.count_if("probe").alias("outside"), F.count("touched").alias("again"), F.max("n").alias("all"))
+    # A bucket of one chunk is done, unless pairs of its members went to the check in the last round.
+    again = counts.filter((F.col("outside") > 0) & ((F.col("again") > 0) | (F.col("all") > chunk))).select("bucket", "outside")
     marked = marked.join(again, "bucket")
     half = max(1, chunk // 2)
     blocks, parts = F.ceil(F.col("outside") / half).cast("int"), F.ceil(F.col("n") / half).cast("int")
