@@ -39,12 +39,12 @@ PERCENT = 75
 ROWS, BANDS = 6, 50
 SIGNATURE = 256
 STEPS = (16, 32, 64, 128, 256)
-MISS = 1e-6
+MISS = 1e-4
 CHUNK = 4096
 # Survivors with this share of equal bytes count as linked within a round. Of the others a member sends so many to
 # the exact check in the first round, and GROWTH times more in each later one.
 SURE = 0.87
-TRIES, GROWTH = 4, 8
+TRIES, GROWTH = 2, 8
 CACHE_WORDS = 500_000
 # Text numbers (8 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
