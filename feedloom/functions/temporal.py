@@ -80,9 +80,9 @@ def age_minutes(created: Column | str, as_of: Column) -> Column:
 
 
 def time_of_day(ts: Column | str) -> Column:
-    """``day`` from 06:00 to before 18:00, else ``night``."""
+    """``day`` from 06:00 to before 18:00, else ``night``; NULL without a time."""
     hour = F.hour(_col(ts))
-    return F.when((hour >= DAY_HOURS[0]) & (hour < DAY_HOURS[1]), "day").otherwise("night")
+    return F.when((hour >= DAY_HOURS[0]) & (hour < DAY_HOURS[1]), "day").when(hour.isNotNull(), "night")
 
 
 def closing_time(opening: Column | str, hours: Column) -> Column:
@@ -101,9 +101,9 @@ def closing_time(opening: Column | str, hours: Column) -> Column:
 def iso_duration_minutes(text: Column | str) -> Column:
     """Minutes of a ``PT#H#M`` duration; either part may be absent, both absent is NULL."""
     pattern = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?$"
-    hours = F.nullif(F.regexp_extract(_col(text), pattern, 1), F.lit("")).cast("bigint")
-    minutes = F.nullif(F.regexp_extract(_col(text), pattern, 2), F.lit("")).cast("bigint")
+    hours = F.nullif(F.regexp_extract(_col(text), pattern, 1), F.lit("")).try_cast("bigint")
+    minutes = F.nullif(F.regexp_extract(_col(text), pattern, 2), F.lit("")).try_cast("bigint")
     return F.when(
         hours.isNotNull() | minutes.isNotNull(),
-        F.coalesce(hours, F.lit(0)) * 60 + F.coalesce(minutes, F.lit(0)),
+        F.try_add(F.try_multiply(F.coalesce(hours, F.lit(0)), F.lit(60)), F.coalesce(minutes, F.lit(0))),
     )

@@ -31,9 +31,10 @@ def convert_currency(
     out: str = "price_in_zar",
 ) -> DataFrame:
     """Convert an amount; without a usable rate it stays as it is and ``converted`` is false."""
-    wanted = rates.where((F.col("to_currency") == to_currency) & (F.col("rate") != 0)).select(
-        F.col("from_currency").alias(from_currency), F.col("rate").alias("_rate")
-    )
+    # Of several rates for a pair the highest counts.
+    wanted = rates.where((F.col("to_currency") == to_currency) & (F.col("rate") != 0)).groupBy(
+        F.col("from_currency").alias(from_currency)
+    ).agg(F.max("rate").alias("_rate"))
     return lookup(df, wanted, from_currency).withColumns(
         {
             out: F.col(amount) * F.coalesce("_rate", F.lit(1.0)),
@@ -43,9 +44,10 @@ def convert_currency(
 
 
 def geocode(df: DataFrame, gazetteer: DataFrame, name: str) -> DataFrame:
-    """Add latitude and longitude by place name; unknown names get NULL for both."""
-    places = gazetteer.select(F.col("name").alias(name), "latitude", "longitude")
-    return lookup(df, places.dropDuplicates([name]), name)
+    """Add latitude and longitude by place name; unknown names get NULL for both, repeated ones the smallest pair."""
+    place = F.min(F.struct("latitude", "longitude")).alias("_place")
+    places = gazetteer.groupBy(F.col("name").alias(name)).agg(place).select(name, "_place.*")
+    return lookup(df, places, name)
 
 
 def drop_stop_rows(words: DataFrame, stop_words: DataFrame, word: str = "word") -> DataFrame:

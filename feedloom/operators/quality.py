@@ -23,9 +23,9 @@ def valid_records(df: DataFrame, columns: tuple[str, ...] = PUBLISHED_COLUMNS) -
 
 
 def decimals(df: DataFrame) -> DataFrame:
-    """Every floating-point column as a decimal."""
+    """Every floating-point column as a decimal; a value too large for it becomes NULL."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.col(c).cast(numeric.DECIMAL) for c in floats}) if floats else df
+    return df.withColumns({c: F.col(c).try_cast(numeric.DECIMAL) for c in floats}) if floats else df
 
 
 def defaults(df: DataFrame, values: dict[str, object]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from feedloom.operators.aggregates import count_by
 from feedloom.operators.lookups import fits, lookup
@@ -13,8 +13,14 @@ from feedloom.session import pinned
 LABEL_ROWS = 100_000
 
 
+def not_nan(column: str) -> Column:
+    """The column without NaN, which would stand for the maximum."""
+    return F.when(~F.isnan(F.col(column).cast("double")), F.col(column))
+
+
 def min_max(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.min(column).alias("min"), F.max(column).alias("max"))
+    known = not_nan(column)
+    return df.agg(F.min(known).alias("min"), F.max(known).alias("max"))
 
 
 def scale(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -23,7 +29,7 @@ def scale(df: DataFrame, column: str, out: str) -> DataFrame:
     low, high = F.col("_bounds.min"), F.col("_bounds.max")
     scaled = F.when(low == high, 0.5).otherwise(F.try_divide(F.col(column) - low, high - low))
     return df.withColumn("_bounds", bounds).withColumn(
-        out, F.when(F.col(column).isNotNull(), scaled)
+        out, F.when(not_nan(column).isNotNull(), scaled)
     ).drop("_bounds")
 
 

@@ -71,16 +71,12 @@ def feeds_union(spark, folder):
         F.date_format("created", "yyyy-MM-dd HH:mm:ss").alias("creation_date"),
     )
     writers.write_csv(kept, first)
-    one_line = F.translate("text", "\n\r", "")
-    texts = table(spark, folder, "documents").where(one_line == F.col("text"))
+    texts = table(spark, folder, "documents")
     writers.write_csv(texts.select(F.col("text").alias("Body"), F.col("doc_id").alias("ID")), second)
-    rest = table(spark, folder, "documents").where(one_line != F.col("text"))
     feeds = prepare_posts(readers.read_feeds(spark, [first, second], schemas.POSTS_RAW))
     both = feeds.select(
         F.col("ID").alias("id"), F.col("Title").alias("title"), F.col("num_comments"),
         F.col("Body").alias("body"), F.date_format("creation_timestamp", "yyyy-MM-dd HH:mm:ss").alias("created"),
-    ).unionByName(
-        rest.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("body")), allowMissingColumns=True
     )
     return both.withColumn("num_comments", F.coalesce("num_comments", F.lit(-1)))
 

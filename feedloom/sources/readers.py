@@ -16,11 +16,12 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     """Header CSV files of one layout (a path or glob), by exact column name, all read as text.
 
     Columns outside the schema are dropped and absent ones are NULL. Names are matched
-    case-sensitively because feeds may hold columns that differ in case only.
+    case-sensitively because feeds may hold columns that differ in case only. Quoted values may hold
+    line breaks, so each file is read by one task.
     """
     header = next(csv.reader([spark.read.text(path).first()["value"].lstrip("\ufeff")]))
     positions = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    rows = spark.read.schema(positions).options(header=True, escape='"').csv(path)
+    rows = spark.read.schema(positions).options(header=True, escape='"', multiLine=True).csv(path)
     at = {name: f"c{i}" for i, name in enumerate(header)}
     return rows.select(
         *[
