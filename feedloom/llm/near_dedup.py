@@ -1,11 +1,13 @@
 """Near-duplicate groups: banded MinHash candidates, Bayesian pruning, exact confirmation.
 
-Documents with one shingle set are one class; classes with at least one shingle get ``BANDS * ROWS`` MinHash
-values, cut into bands. Classes that share a band are candidates. Within each band bucket their
+Documents with one shingle set are one class; classes with at least one shingle get ``SIGNATURE`` MinHash
+values, the first ``BANDS * ROWS`` of them cut into bands. Classes that share a band are candidates. Within each band bucket their
 signatures of ``SIGNATURE`` bytes are compared in batches of growing length: after every batch a pair goes as soon
-as the posterior probability of a similarity of at least the threshold is below ``MISS``. Pairs already in
-one component are not compared, and of the survivors each member sends a bounded number to the exact check on
-the full sets. Rounds repeat with a growing number, without the pairs that failed, until no bucket has a survivor.
+as the posterior probability of a similarity of at least the threshold is below ``MISS``. A pair that meets in several
+buckets belongs to the first band it shares and is compared there alone. The first round sends only pairs
+that are likely links to the exact check on the full sets, as few as join them. After that, pairs already in one
+component are not compared, and of the survivors each member sends a bounded number. Rounds repeat with a
+growing number, without the pairs that failed, until no bucket has a survivor.
 
 A bucket is dealt out in chunks of at most ``CHUNK`` members, each with the bucket's smallest member. What stays
 apart from that member's component is compared across chunks in later rounds.
@@ -37,14 +39,14 @@ from feedloom.session import pinned
 WORDS = 5
 PERCENT = 75
 ROWS, BANDS = 6, 50
-SIGNATURE = 256
-STEPS = (16, 32, 64, 128, 256)
+SIGNATURE = 512
+STEPS = (16, 32, 64, 128, 256, 512)
 MISS = 1e-4
 CHUNK = 4096
-# Survivors with this share of equal bytes count as linked within a round. Of the others a member sends so many to
-# the exact check in the first round, and GROWTH times more in each later one.
-SURE = 0.87
-TRIES, GROWTH = 2, 8
+# Survivors with this share of equal bytes count as linked within a round. Of the others a member sends none to
+# the exact check in the first round, so many in the second, and GROWTH times more in each later one.
+SURE = 0.8
+TRIES, GROWTH = 2, 16
 CACHE_WORDS = 500_000
 # Text numbers (8 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -86,12 +88,12 @@ def shingle_set(text: bytes | None) -> np.ndarray:
 @lru_cache(maxsize=1)
 def hash_family() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(5)
-    factors = rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    return factors[:, None], rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)[:, None]
+    factors = rng.integers(0, 1 << 31, SIGNATURE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return factors[:, None], rng.integers(0, 1 << 32, SIGNATURE, dtype=np.uint32)[:, None]
 
 
 def min_hashes(shingles: np.ndarray) -> np.ndarray:
-    """``BANDS * ROWS`` MinHash values of a set."""
+    """``SIGNATURE`` MinHash values of a set."""
     factor, shift = hash_family()
     x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
     low = None
@@ -103,7 +105,7 @@ def min_hashes(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     """64-bit keys of the bands of many signatures (rows)."""
-    rows = low.reshape(len(low), BANDS, ROWS).astype(np.uint64)
+    rows = low[:, :BANDS * ROWS].reshape(len(low), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2]).copy()
     for i in range(ROWS):
         key = mixed(key * MIX + rows[:, :, i])
@@ -181,13 +183,20 @@ class Picker:
         self.links.append(pair)
 
 
-def bucket_links(node, comp, size, sign, probe, failed, tries) -> list[tuple[int, int]]:
+def own_pairs(bucket, one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Whether the bucket is that of the first band in which ``one`` and ``many`` agree, by the bands' low 32 bits."""
+    first = (one == many).argmax(1)
+    return many[np.arange(len(many)), first] == bucket
+
+
+def bucket_links(bucket, node, comp, size, sign, marks, probe, failed, tries) -> list[tuple[int, int]]:
     """Pairs to check of one chunk; ``probe`` marks the members that are compared with all others."""
     picker, comp = Picker(failed, tries), comp.copy()
     for i in np.flatnonzero(probe).tolist():
         later = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(node)) > i)))
         fits = (np.minimum(size[later], size[i]) * 100 >= PERCENT * np.maximum(size[later], size[i]))
         later = later[fits]
+        later = later[own_pairs(bucket, marks[i], marks[later])]
         alive, sure = similar(sign[i], sign[later])
         for j, s in zip(later[alive].tolist(), sure.tolist(), strict=True):
             picker.offer(int(node[i]), int(node[j]), int(comp[i]), int(comp[j]), s)
@@ -197,21 +206,23 @@ def bucket_links(node, comp, size, sign, probe, failed, tries) -> list[tuple[int
     return picker.links
 
 
-def small_links(node, comp, size, sign, bucket, failed, tries) -> list[tuple[int, int]]:
+def small_links(bucket, node, comp, size, sign, marks, probe, chunk, failed, tries) -> list[tuple[int, int]]:
     """The same for many small buckets at once: their pairs are compared row by row."""
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    length = np.diff(np.append(first, len(bucket)))
-    reps = np.repeat(length, length) - (np.arange(len(bucket)) - np.repeat(first, length)) - 1
-    left = np.repeat(np.arange(len(bucket)), reps)
+    first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+    length = np.diff(np.append(first, len(chunk)))
+    reps = np.repeat(length, length) - (np.arange(len(chunk)) - np.repeat(first, length)) - 1
+    left = np.repeat(np.arange(len(chunk)), reps)
     right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(reps) - reps, reps)
-    keep = (comp[left] != comp[right]) & (
+    keep = (comp[left] != comp[right]) & (probe[left] | probe[right]) & (
         np.minimum(size[left], size[right]) * 100 >= PERCENT * np.maximum(size[left], size[right]))
     left, right = left[keep], right[keep]
+    own = own_pairs(bucket[left], marks[left], marks[right])
+    left, right = left[own], right[own]
     pickers: dict[int, Picker] = {}
     for i in range(0, len(left), 200_000):
         alive, sure = similar(sign[left[i:i + 200_000]], sign[right[i:i + 200_000]])
         one, two = left[i + alive], right[i + alive]
-        for b, *pair in zip(*(x.tolist() for x in (bucket[one], node[one], node[two], comp[one], comp[two], sure)), strict=True):
+        for b, *pair in zip(*(x.tolist() for x in (chunk[one], node[one], node[two], comp[one], comp[two], sure)), strict=True):
             if b not in pickers:
                 pickers[b] = Picker(failed, tries)
             pickers[b].offer(*pair)
@@ -225,28 +236,29 @@ def first_of_each(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """Set size, set digest, signature and band keys of the distinct texts (``text_id``, ``text``)."""
+    """Set size, set digest, signature, band marks and band keys of the distinct texts (``text_id``, ``text``)."""
     short_batches(texts.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = first_of_each(batch)
             sets = [shingle_set(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            low = np.array([min_hashes(s) if len(s) else np.zeros(BANDS * ROWS, np.uint32) for s in sets], np.uint32).reshape(len(sets), -1)
-            signs = ((low[:, :SIGNATURE] * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
+            low = np.array([min_hashes(s) if len(s) else np.zeros(SIGNATURE, np.uint32) for s in sets], np.uint32).reshape(len(sets), SIGNATURE)
+            signs = ((low * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
             keys = band_keys(low)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.array([s.tobytes() for s in signs], pa.binary()), pa.array(list(keys), pa.list_(pa.int64())),
-            ], names=["row", "size", "digest", "sign", "bands"])
+                pa.array([s.tobytes() for s in signs], pa.binary()),
+                pa.array([k.tobytes() for k in keys.astype(np.uint32)], pa.binary()), pa.array(list(keys), pa.list_(pa.int64())),
+            ], names=["row", "size", "digest", "sign", "marks", "bands"])
 
-    rows = texts.mapInArrow(run, "row long, size long, digest binary, sign binary, bands array<long>")
+    rows = texts.mapInArrow(run, "row long, size long, digest binary, sign binary, marks binary, bands array<long>")
     return rows.dropDuplicates(["row"])
 
 
 def _candidates(members: DataFrame, tries: int) -> DataFrame:
-    """Surviving pairs of the chunks: (bucket, chunk, node, comp, size, sign, probe, failed), sorted by chunk."""
+    """Surviving pairs of the chunks: (bucket, chunk, node, comp, size, sign, marks, probe, failed), sorted by chunk."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(cols: dict[str, np.ndarray], failed: set) -> set[tuple[int, int]]:
@@ -255,15 +267,16 @@ def _candidates(members: DataFrame, tries: int) -> DataFrame:
             length = np.diff(np.append(first, len(key)))
             each = np.repeat(np.arange(len(first)), length)
             found: set[tuple[int, int]] = set()
+            names = ("node", "comp", "size", "sign", "marks", "probe")
+            bucket = key[:, 0].astype(np.uint32)
+            # Chunks of few members go together.
             few = (length <= 24)[each]
-            # Chunks whose members all probe and are few go together.
-            plain = few & (np.bincount(each, ~cols["probe"])[each] == 0)
-            if plain.any():
-                found.update(small_links(*(cols[c][plain] for c in ("node", "comp", "size", "sign")), each[plain], failed, tries))
+            if few.any():
+                found.update(small_links(bucket[few], *(cols[c][few] for c in names), each[few], failed, tries))
             for f, n in zip(first.tolist(), length.tolist(), strict=True):
-                if not plain[f]:
+                if not few[f]:
                     part = slice(f, f + n)
-                    found.update(bucket_links(*(cols[c][part] for c in ("node", "comp", "size", "sign", "probe")), failed, tries))
+                    found.update(bucket_links(bucket[f], *(cols[c][part] for c in names), failed, tries))
             return found
 
         def columns(held: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], set]:
@@ -271,6 +284,7 @@ def _candidates(members: DataFrame, tries: int) -> DataFrame:
             cols = {c: t[c].to_numpy() for c in ("node", "comp", "size", "probe")}
             cols["key"] = np.stack([t["bucket"].to_numpy(), t["chunk"].to_numpy()], 1)
             cols["sign"] = np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+            cols["marks"] = np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, BANDS)
             failed = {(min(a, b), max(a, b)) for a, bs in zip(t["node"].to_pylist(), t["failed"].to_pylist(), strict=True) if bs for b in bs}
             return cols, failed
 
@@ -335,14 +349,14 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     # Equal sets are one class, named by its smallest row.
     classes = signs.filter("size > 0").groupBy("digest", "size").agg(F.min("row").alias("node"))
     links = pinned(signs.join(classes, ["digest", "size"]).filter("row != node").select(F.col("row").alias("a"), F.col("node").alias("b")), "links")
-    reps = signs.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "sign", "bands")
+    reps = signs.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", "sign", "marks", "bands")
     rows = reps.select("node", F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk)
     own = F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), (chunks - 1).cast("int"))).otherwise(
         F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))
     dealt = pinned(rows.join(buckets, "bucket").select("bucket", "n", "pivot", "node", own.alias("chunks")), "buckets")
-    narrow = pinned(reps.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "size", "sign"), "narrow")
+    narrow = pinned(reps.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "size", "sign", "marks"), "narrow")
     failed = None
     touched = None
     state = narrow.select("node", F.col("node").alias("comp"))
@@ -358,13 +372,17 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
             # Every member of a chunk is compared with every other; the pivot is in all chunks.
             members = members.withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
         else:
-            members = _open_members(members, touched, chunk)
+            members = _open_members(members, touched if round_number > 1 else None, chunk)
         members = members.join(narrow, "node")
-        members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "probe", "failed")
+        members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "marks", "probe", "failed")
         found = members.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node")
-        pairs = pinned(_candidates(found, TRIES * GROWTH ** round_number), "pairs")
+        tries = TRIES * GROWTH ** (round_number - 1) if round_number else 0
+        pairs = pinned(_candidates(found, tries), "pairs")
         if pairs.isEmpty():
-            break
+            if round_number:
+                break
+            round_number = 1
+            continue
         wanted = pinned(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
         sets = pinned(_sets_of(texts, wanted), "sets")
         checked = pinned(_confirmed(pairs, sets), "checked")
@@ -385,15 +403,16 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     return signs, last.select("node", F.col("comp").alias("component")).unionByName(spread)
 
 
-def _open_members(members: DataFrame, touched: DataFrame, chunk: int) -> DataFrame:
+def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
     """Members of buckets with several components, dealt so that outsiders meet all.
 
     Outsiders are members apart from the component of the pivot. They come in blocks; a chunk of members and
-    a block of outsiders form one group.
+    a block of outsiders form one group. Without ``touched`` no bucket counts as done.
     """
     pivots = members.filter("node = pivot").select("bucket", F.col("comp").alias("main"))
     marked = members.join(pivots, "bucket").withColumn("probe", F.col("comp") != F.col("main"))
-    marked = marked.join(touched.withColumn("touched", F.lit(1)), "node", "left")
+    seen = F.lit(1).alias("touched")
+    marked = marked.withColumn("touched", F.lit(1)) if touched is None else marked.join(touched.select("node", seen), "node", "left")
     counts = marked.groupBy("bucket").agg(
         F.count_if("probe").alias("outside"), F.count("touched").alias("again"), F.max("n").alias("all"))
     # A bucket of one chunk is done, unless pairs of its members went to the check in the last round.
