@@ -74,14 +74,19 @@ def _slot(word: Column) -> Column:
 def add_polarity(
     df: DataFrame, tokens: str, lexicon: DataFrame, out: str = "sentiment", max_rows: int = LEXICON_ROWS
 ) -> DataFrame:
-    """Mean polarity of the tokens found in the lexicon, 0.0 if none is.
+    """Mean polarity of the tokens found in the lexicon, 0.0 if none is or the list is NULL.
 
-    A lexicon of checked size is looked up inside each row, without any shuffle, on
-    batches and streams alike. A larger one is joined with the exploded tokens, and the
-    means come back by a digest of the token list, whose copies combine before the shuffle.
+    Of a repeated word the highest polarity counts. A lexicon of checked size is looked up
+    inside each row, without any shuffle, on batches and streams alike. A larger one is joined
+    with the exploded tokens, and the means come back by a digest of the token list, whose
+    copies combine before the shuffle; a stream takes that join inside ``foreachBatch``, as the
+    post job does, and is refused here.
     """
-    lexicon = lexicon.select("word", "polarity").dropna().dropDuplicates(["word"])
-    if fits(lexicon, max_rows):
+    lexicon = lexicon.select("word", "polarity").dropna().groupBy("word").agg(F.max("polarity").alias("polarity"))
+    small = fits(lexicon, max_rows)
+    if df.isStreaming and not small:
+        raise ValueError(f"a lexicon of more than {max_rows} words needs foreachBatch on a stream")
+    if small:
         df = df.withColumn("_lexicon", _packed_lexicon(lexicon))
         found = F.filter(
             F.transform(tokens, lambda t: F.col("_lexicon")[_slot(t)][t]), lambda p: p.isNotNull()
@@ -89,8 +94,8 @@ def add_polarity(
         mean = F.aggregate(found, F.lit(0.0), lambda total, p: total + p) / F.greatest(
             F.size(found), F.lit(1)
         )
-        return df.withColumn(out, mean).drop("_lexicon")
-    keyed = df.withColumn("_digest", F.sha2(F.array_join(tokens, " "), 256))
+        return df.withColumn(out, F.coalesce(mean, F.lit(0.0))).drop("_lexicon")
+    keyed = df.withColumn("_digest", F.sha2(F.to_json(tokens), 256))
     words = exploded(keyed, tokens, "word", "_digest")
     scores = words.join(lexicon, "word").groupBy("_digest").agg(F.avg("polarity").alias(out))
     scored = keyed.join(scores, "_digest", "left").drop("_digest")

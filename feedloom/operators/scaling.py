@@ -56,7 +56,7 @@ def with_index(df: DataFrame, column: str, out: str) -> DataFrame:
     unknown = labels.agg(F.count(F.lit(1)).cast("double")).scalar()
     return lookup(df, known, column).withColumn("_unknown", unknown).withColumn(
         out, F.coalesce(out, "_unknown")
-    ).drop("_unknown")
+    ).select(*df.columns, out)
 
 
 def fit_features(df: DataFrame, category: str, price: str) -> DataFrame:

@@ -112,7 +112,8 @@ def route_rows(docs: DataFrame) -> DataFrame:
 def opening_shifts(df: DataFrame, hours: str, *keep: str) -> DataFrame:
     """Weekly opening-hours text to (weekday, opens, closes) rows, several per day if need be.
 
-    A closed day has NULL times. Where the first time lacks AM/PM it takes the second's.
+    A closed day has NULL times, a day and night one 00:00 and 24:00. Where the first time lacks AM/PM it
+    takes the second's.
     """
     plain = F.translate(F.col(hours), "\u2009\u202f\u2013", "  -")
     days = df.select(*keep, F.explode(F.split(plain, r"\n")).alias("_day"))
@@ -121,20 +122,23 @@ def opening_shifts(df: DataFrame, hours: str, *keep: str) -> DataFrame:
         F.trim(F.split_part("_day", F.lit(": "), F.lit(1))).alias("weekday"),
         F.explode(F.split(F.regexp_extract("_day", r"^[^:]*: (.*)$", 1), ", ")).alias("_shift"),
     )
-    pattern = r"^(\d{1,2}:\d{2}) ?([AP]M)? ?- ?(\d{1,2}:\d{2}) ?([AP]M)$"
+    pattern = r"^(\d{1,2}(?::\d{2})?) ?([AP]M)? ?- ?(\d{1,2}(?::\d{2})?) ?([AP]M)?$"
     part = [F.nullif(F.regexp_extract("_shift", pattern, i), F.lit("")) for i in range(1, 5)]
+    always = F.trim("_shift") == "Open 24 hours"
     return shifts.select(
         *keep,
         "weekday",
-        _clock(part[0], F.coalesce(part[1], part[3])).alias("opens"),
-        _clock(part[2], part[3]).alias("closes"),
+        F.when(always, "00:00").otherwise(_clock(part[0], F.coalesce(part[1], part[3]))).alias("opens"),
+        F.when(always, "24:00").otherwise(_clock(part[2], part[3])).alias("closes"),
         (F.trim("_shift") == "Closed").alias("closed"),
     )
 
 
 def _clock(time: Column, half: Column) -> Column:
-    """12-hour time to ``HH:MM``."""
-    return F.date_format(F.try_to_timestamp(F.concat_ws(" ", time, half), F.lit("h:mm a")), "HH:mm")
+    """Time with or without minutes to ``HH:MM``; without AM or PM it is on the 24-hour clock."""
+    full = F.when(F.contains(time, F.lit(":")), time).otherwise(F.concat(time, F.lit(":00")))
+    noon = F.try_to_timestamp(F.concat_ws(" ", full, half), F.lit("h:mm a"))
+    return F.date_format(F.when(half.isNotNull(), noon).otherwise(F.try_to_timestamp(full, F.lit("H:mm"))), "HH:mm")
 
 
 def markers(df: DataFrame, label: str, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:

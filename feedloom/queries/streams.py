@@ -24,9 +24,16 @@ from feedloom.streaming.activity import author_counts
 
 
 def _event_stream(spark, folder):
+    """The events as a stream, whether the table is one file or a folder of part files."""
+    path = f"{folder}/events.parquet"
+    schema = table(spark, folder, "events").schema
+    # A stream takes no single file as its folder, but a glob over the parent does.
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop)
+    if status.isDirectory():
+        return readers.read_stream(spark, "parquet", path, schema, maxFilesPerTrigger="64")
     return readers.read_stream(
-        spark, "parquet", folder, table(spark, folder, "events").schema,
-        pathGlobFilter="events.parquet", maxFilesPerTrigger="1",
+        spark, "parquet", folder, schema, pathGlobFilter="events.parquet", maxFilesPerTrigger="1"
     )
 
 

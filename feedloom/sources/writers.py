@@ -62,13 +62,22 @@ def write_markers(df: DataFrame, path: str, label: str) -> None:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder, replacing the target."""
-    jvm = spark._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    """Move a folder, replacing the target: it steps aside and goes only once the new one is in place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old, new, aside = path(source), path(target), path(f"{target}.replaced-{uuid.uuid4().hex}")
     fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(new, True)
-    if not fs.rename(old, new):
-        raise OSError(f"cannot rename {source} to {target}")
+    replaced = fs.exists(new)
+    if replaced and not fs.rename(new, aside):
+        raise OSError(f"cannot set {target} aside")
+    try:
+        if not fs.rename(old, new):
+            raise OSError(f"cannot rename {source} to {target}")
+    except Exception:
+        if replaced:
+            fs.rename(aside, new)
+        raise
+    if replaced:
+        fs.delete(aside, True)
 
 
 def publish_latest(df: DataFrame, path: str) -> dict[str, object]:
