@@ -79,7 +79,13 @@ def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     """Text and language of the sampled training documents. Ids are chosen before texts are read."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT))
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id")), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("nth", F.row_number().over(order))
+    # The smallest hashes by halving ranges, counted first: only the ranges that hold the sample meet in a window.
+    level = F.floor(64 - F.log2(F.xxhash64(F.col("doc_id")).cast("double") + F.lit(2.0 ** 63 + 1))).cast("int")
+    ids = usable.select("doc_id", "lang", level.alias("level"))
+    counts = ids.groupBy("lang", "level").count()
+    ahead = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("level"))) - F.col("count")
+    needed = pinned(counts.withColumn("ahead", ahead).filter(F.col("ahead") < per_language).select("lang", "level"), "levels")
+    chosen = ids.join(needed, ["lang", "level"], "left_semi").withColumn("nth", F.row_number().over(order))
     chosen = chosen.filter(F.col("nth") <= per_language).select(F.col("doc_id").alias("chosen_id")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("chosen_id"))
     found = usable.select("doc_id", "lang", "text").join(chosen, same, "left_semi")
