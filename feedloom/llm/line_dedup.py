@@ -1,11 +1,12 @@
 """Line deduplication by winnowing over line hashes.
 
 Every line gets a hash of its form with single spaces. A window starts at each line and takes lines until it
-has ``min_words`` words; the smallest hash in it is its fingerprint. Two places that share a run of at least
-``min_words`` words hold an equal window there, so they select the same fingerprint: the match is
-guaranteed. Fingerprints met at one place alone end the search; at the others the match is extended both
-ways to the whole window and on to the windows before and after it, as long as they also stand at an earlier
-place. The union of these windows is the repeated run; all its places but the first are deleted.
+has ``min_words`` words, and another ends at each line and takes lines above it likewise; the smallest hash in a
+window is its fingerprint. Two places that share a run of at least ``min_words`` words hold equal windows there,
+so they select the same fingerprints: the match is guaranteed. Fingerprints met at one place alone end the
+search; at the others the windows that also stand at an earlier place are joined. Each line of a shared run lies
+in the window that starts the run or in one that ends at the line, both inside the run, so the union of these
+windows is the whole run, to both ends; all its places but the first are deleted.
 
 So a line is deleted if and only if it lies in a run of lines of ``min_words`` words that stands earlier too, in an
 earlier document (smaller id) or above in the same one.
@@ -41,7 +42,11 @@ def line_marks(text: Column) -> Column:
 
 
 def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every window of ``min_words`` words: its place, last line, fingerprint and content key."""
+    """Windows of ``min_words`` words: first and last line, fingerprint with its place, and content key.
+
+    One starts at each line and takes the fewest lines after it; one ends at each line and takes the fewest
+    before it. Those that end at a line and also start as one of the others are given once.
+    """
     rows = docs.filter("text is not null").select("doc_id", text_key(F.col("text")).alias("text_key"), line_marks(F.col("text")).alias("lines"))
     rows = rows.filter(F.aggregate("lines", F.lit(0), lambda total, x: total + x["words"]) >= min_words).dropDuplicates(DOC)
     lines = rows.select(*DOC, F.posexplode("lines").alias("line", "mark")).filter("mark.words > 0")
@@ -49,16 +54,27 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     above = Window.partitionBy(*DOC).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*DOC)
     lines = lines.withColumn("before", F.coalesce(F.sum("words").over(above), F.lit(0)))
-    lines = lines.withColumn("total", F.sum("words").over(whole))
-    span = Window.partitionBy(*DOC).orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
+    lines = lines.withColumn("total", F.sum("words").over(whole)).withColumn("upto", F.col("before") + F.col("words"))
+    ahead = Window.partitionBy(*DOC).orderBy("before").rangeBetween(Window.currentRow, min_words - 1)
+    back = Window.partitionBy(*DOC).orderBy("upto").rangeBetween(1 - min_words, Window.currentRow)
+
+    def window(span) -> Column:
+        return F.struct(
+            F.min("line").over(span).alias("line"), F.max("line").over(span).alias("last"),
+            F.min(F.struct("hash", "line")).over(span).alias("mark"),
+            F.collect_list(F.struct("hash", "check")).over(span).alias("run"),
+        )
+
     found = lines.select(
-        *DOC, "line", "before", "total", F.max("line").over(span).alias("last"),
-        F.min(F.struct("hash", "line")).over(span).alias("mark"),
-        F.collect_list(F.struct("hash", "check")).over(span).alias("run"),
-    ).filter(F.col("total") - F.col("before") >= min_words)
+        *DOC, (F.col("total") - F.col("before") >= min_words).alias("starts"), window(ahead).alias("ahead"),
+        # Without its last line it has the words already, so no window that starts at a line equals it.
+        (F.col("before") - F.min("before").over(back) >= min_words).alias("ends"), window(back).alias("back"),
+    )
+    both = F.array(F.when(F.col("starts"), F.col("ahead")), F.when(F.col("ends"), F.col("back")))
+    found = found.select(*DOC, F.explode(F.array_compact(both)).alias("w"))
     return found.select(
-        *DOC, "line", "last", F.col("mark.hash").alias("fingerprint"), F.col("mark.line").alias("at"),
-        F.xxhash64("run").alias("run_key"), F.xxhash64(F.lit(1), F.col("run")).alias("run_check"),
+        *DOC, "w.line", "w.last", F.col("w.mark.hash").alias("fingerprint"), F.col("w.mark.line").alias("at"),
+        F.xxhash64("w.run").alias("run_key"), F.xxhash64(F.lit(1), F.col("w.run")).alias("run_check"),
     )
 
 

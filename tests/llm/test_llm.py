@@ -65,6 +65,38 @@ def test_line_runs_within_and_across_documents(spark):
     assert left == {1: rows[0][1], 2: "other", 3: rows[2][1]}
 
 
+def deleted_lines(texts, least=50):
+    """Lines of every run of ``least`` words that stands earlier: each pair of places, as far as it goes."""
+    lines = {d: [(n, " ".join(x.split())) for n, x in enumerate(text.split("\n")) if x.split()] for d, text in texts.items()}
+    places = [(d, i) for d in sorted(lines) for i in range(len(lines[d]))]
+    gone = {d: set() for d in texts}
+    for b, (two, j) in enumerate(places):
+        for one, i in places[:b]:
+            n = 0
+            while i + n < len(lines[one]) and j + n < len(lines[two]) and lines[one][i + n][1] == lines[two][j + n][1]:
+                n += 1
+            if sum(len(x.split()) for _, x in lines[two][j:j + n]) >= least:
+                gone[two].update(range(lines[two][j][0], lines[two][j + n - 1][0] + 1))
+    return gone
+
+
+def test_line_runs_reach_both_ends(spark):
+    def line(name, words):
+        return " ".join(f"{name}{i}" for i in range(words))
+
+    texts = {1: [line("a", 100), line("b", 20)], 2: [line("a", 100), line("b", 20)], 3: ["new", line("b", 20)]}
+    texts |= {4: [line(c, n) for c, n in zip("cdef", (30, 30, 30, 10), strict=True)] * 2, 5: [line("b", 20), line("c", 30), line("d", 30)]}
+    rng = np.random.default_rng(8)
+    parts = [line(c, n) for c, n in zip("ghijkl", (3, 10, 20, 30, 49, 60), strict=True)] + ["", " "]
+    texts |= {d: [parts[k] for k in rng.integers(0, len(parts), rng.integers(1, 9))] for d in range(10, 60)}
+    texts = {d: "\n".join(x) for d, x in texts.items()}
+    gone = deleted_lines(texts)
+    assert gone[2] == {0, 1} and gone[3] == set() and gone[4] == {4, 5, 6, 7}
+    for r in line_dedup.line_report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        left = "\n".join(x for n, x in enumerate(texts[r["doc_id"]].split("\n")) if n not in gone[r["doc_id"]])
+        assert (r["n_deleted"], r["left_sha256"]) == (len(gone[r["doc_id"]]), hashlib.sha256(left.encode()).hexdigest())
+
+
 def base_spans(text):
     def luhn(digits):
         total = 0
