@@ -37,7 +37,7 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OTHER = "other"
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-BYTE_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+BYTE_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 # A pattern needs so many different seeds; context reaches so many characters.
 SUPPORT = 3
 CONTEXT = 80

@@ -128,6 +128,15 @@ def test_base_spans_match_plain_patterns(spark):
         assert sum(r[f"n_{k}"] for k in pii.KINDS) == (want.count(",") + 1 if want else 0)
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1 127.0.0.1 192.168.0.1 0.0.0.0 00.000.0255.1", "000.256.0.1 0.0.0 10.0.0.300 8.8.8.8 " + "0" * 3000 + ".1.2.3", "0.0.0." + "0" * 3000 + "256"]
+    for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        want = base_spans(texts[r["doc_id"]])
+        assert r["n_ip"] == (5, 2, 0)[r["doc_id"]] and r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    docs = spark.createDataFrame([(1, "at 10.0.0.1 now")], "doc_id long, text string")
+    assert pii.redacted(docs).first()["text"] == "at [IP] now"
+
+
 def test_context_finds_unseen_identifiers(spark):
     rows = [(i, f"please reach me by mail user{i}@host.org today") for i in range(8)]
     rows += [(20, "reach me by mail agent77(at)host now"), (21, "it costs by weight 77 euro")]
