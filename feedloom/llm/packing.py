@@ -1,12 +1,12 @@
 """Best-fit packing by hierarchical residuals.
 
 Each partition tokenises its documents, cuts those longer than a sequence and packs the rest best-fit
-into bins. Bins that are nearly full are done. Underfull bins become the items of the next level, where
-fewer partitions pack them best-fit again, up to one partition. Only (bin, size) pairs move up
-the tree; the pieces stay where they were written and learn their sequence by one join at the end.
-
-A task passes at most ``PASS_BINS`` bins up, the emptiest first, and closes the others as they are, so
-the last task is bounded by the fan-in; no piece is dropped by this.
+into bins, a block of pieces at a time. Bins that are nearly full are done. All underfull bins become the items of
+the next level, which packs them best-fit over the whole corpus: where an item goes depends only on its size and its
+number among those of its size, so the driver plans from the count of each size, at most one per place of a
+sequence, and the tasks look their items up. No task or driver holds more than its block and the plan, and no two
+underfull bins that fit into one sequence stay apart. The pieces stay where they were written and
+learn their item numbers by one join with the sizes of their block.
 
 Defined cases: null and empty texts are the closing id alone. Repeated rows, and repeated or null
 ids, are packed as documents of their own. An empty table gives an empty result; other columns are left out.
@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import short_batches
@@ -32,9 +32,10 @@ SEQUENCE = 2048
 END_ID = 0
 # A bin with at most so many free places is done.
 SLACK = 16
-FAN_IN = 8
 BLOCK_ITEMS = 200_000
-PASS_BINS = 4096
+# Bins of a partition count from its number, merged ones from above all of those.
+BIN_BITS, MERGED = 33, 1 << 62
+RANK_BITS = 48
 CACHE_WORDS = 700_000
 
 # Letters or digits followed by ASCII marks other than the apostrophe.
@@ -110,11 +111,51 @@ def best_fit(sizes: np.ndarray, capacity: int = SEQUENCE) -> tuple[np.ndarray, n
 
 
 def left_open(used: np.ndarray, capacity: int) -> np.ndarray:
-    """Bins that go up the tree: underfull ones, the emptiest ``PASS_BINS`` of them."""
-    open_bins = np.flatnonzero(used < capacity - SLACK)
-    if len(open_bins) > PASS_BINS:
-        open_bins = open_bins[np.argsort(used[open_bins], kind="stable")[:PASS_BINS]]
-    return np.isin(np.arange(len(used)), open_bins)
+    """Bins that go on: all underfull ones."""
+    return used < capacity - SLACK
+
+
+def rank_in_size(sizes: np.ndarray) -> np.ndarray:
+    """Number of each item among those of its size, from 0."""
+    order = np.argsort(sizes, kind="stable")
+    _, begin, count = np.unique(sizes[order], return_index=True, return_counts=True)
+    ranks = np.empty(len(sizes), np.int64)
+    ranks[order] = np.arange(len(sizes)) - np.repeat(begin, count)
+    return ranks
+
+
+def best_fit_plan(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """``best_fit`` of any number of items, from how many there are of each size.
+
+    Rows of (size, first rank, items of a bin, first bin, offset), by size and rank: item ``rank`` of a size, by the
+    last row at or before it, goes into bin ``first bin + (rank - first rank) // items`` behind those of its bin
+    with a smaller rank. Bins of one room are kept as ranges of numbers, so the work and the plan grow with the
+    sizes there are, not with the items.
+    """
+    free: dict[int, list[tuple[int, int]]] = {}
+    plan, bins = [], 0
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        while left:
+            room = min((r for r in free if r >= size), default=0)
+            if room:
+                first, n = free[room].pop()
+                if not free[room]:
+                    del free[room]
+            else:
+                room, first, n = capacity, bins, -(-left // (capacity // size))
+                bins += n
+            # A bin takes as many as fit before the next one gets any; the last one may get fewer.
+            each = min(room // size, left)
+            full = min(n, left // each)
+            rest = 0 if full == n else left - full * each
+            taken = full * each + rest
+            plan.append((size, rank, each, first, capacity - room))
+            rank, left = rank + taken, left - taken
+            for begin, number, used in ((first, full, each * size), (first + full, 1 if rest else 0, rest * size), (first + full + (rest > 0), n - full - (rest > 0), 0)):
+                if number > 0 and room > used:
+                    free.setdefault(room - used, []).append((begin, number))
+    return np.array(sorted(plan), np.int64).reshape(-1, 5)
 
 
 class _Block:
@@ -123,7 +164,7 @@ class _Block:
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def __init__(self, partition: int, id_type: pa.DataType, capacity: int):
-        self.next_bin, self.id_type, self.capacity = partition << 33, id_type, capacity
+        self.next_bin, self.id_type, self.capacity = partition << BIN_BITS, id_type, capacity
         self.rows: list[list] = [[] for _ in self.names]
 
     def add(self, doc_id, data: bytes) -> None:
@@ -136,13 +177,13 @@ class _Block:
     def packed(self) -> pa.RecordBatch:
         length = np.array(self.rows[3], np.int64)
         bins, offsets, used = best_fit(length, self.capacity)
-        goes_on = left_open(used, self.capacity)
+        goes_on, ranks, block = left_open(used, self.capacity), rank_in_size(used), self.next_bin
         kinds = [self.id_type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         arrays = [pa.array(x, k) for x, k in zip(self.rows, kinds, strict=True)]
-        arrays += [pa.array(bins + self.next_bin), pa.array(offsets), pa.array(used[bins]), pa.array(goes_on[bins])]
+        arrays += [pa.array(bins + self.next_bin), pa.array(offsets), pa.array(used[bins]), pa.array(goes_on[bins]), pa.array(ranks[bins]), pa.array(np.full(len(bins), block))]
         self.next_bin += len(used)
         self.rows = [[] for _ in self.names]
-        return pa.RecordBatch.from_arrays(arrays, names=[*self.names, "bin", "place", "bin_size", "open"])
+        return pa.RecordBatch.from_arrays(arrays, names=[*self.names, "bin", "place", "bin_size", "open", "rank", "block"])
 
 
 def local_pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
@@ -169,61 +210,36 @@ def local_pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     return pinned(rows.mapInArrow(run, (
         f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
-        "bin long, place long, bin_size long, open boolean"
+        "bin long, place long, bin_size long, open boolean, rank long, block long"
     )), "pieces")
 
 
-def merge_level(items: DataFrame, partitions: int, capacity: int) -> DataFrame:
-    """One best-fit round over (bin, size): the bin each goes into, its place there, and that bin's size."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [b for b in batches if b.num_rows]
-        if not table:
-            return
-        names = np.concatenate([b.column(0).to_numpy() for b in table])
-        sizes = np.concatenate([b.column(1).to_numpy() for b in table])
-        order = np.argsort(names)
-        names, sizes = names[order], sizes[order]
-        bins, offsets, used = best_fit(sizes, capacity)
-        # A merged bin is named after its first item.
-        named = np.empty(len(used), np.int64)
-        named[bins[offsets == 0]] = names[offsets == 0]
-        goes_on = left_open(used, capacity)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (names, named[bins], offsets, used[bins], goes_on[bins])],
-            names=["bin", "into", "place", "bin_size", "open"],
-        )
-
-    dealt = items.repartition(partitions, "bin") if partitions > 1 else items.coalesce(1)
-    return pinned(dealt.mapInArrow(run, "bin long, into long, place long, bin_size long, open boolean"), "bins")
-
-
-def open_bins(level: DataFrame, name: str) -> DataFrame:
-    return level.filter("open and place = 0").select(F.col(name).alias("bin"), F.col("bin_size").alias("size"))
-
-
 def pack(docs: DataFrame, path: str, capacity: int = SEQUENCE) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     pieces = local_pieces(docs, path, capacity)
-    moves = None
-    items, parts = open_bins(pieces, "bin"), max(1, docs.rdd.getNumPartitions())
-    while True:
-        parts = -(-parts // FAN_IN)
-        level = merge_level(items, parts, capacity)
-        step = level.select("bin", "into", F.col("place").alias("shift"))
-        if moves is None:
-            moves = step
-        else:
-            later = step.select(F.col("bin").alias("into"), F.col("into").alias("root"), F.col("shift").alias("more"))
-            moves = pinned(moves.join(later, "into", "left").select(
-                "bin", F.coalesce("root", "into").alias("into"),
-                (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"),
-            ), "moves")
-        if parts == 1:
-            break
-        items = open_bins(level, "into")
-    return pieces.join(moves, "bin", "left").select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        F.coalesce("into", "bin").alias("sequence_id"),
-        (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset"),
-    )
+    sizes = pieces.filter("open and place = 0").groupBy("block", "bin_size").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("bin_size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = pinned(sizes.select("block", "bin_size", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead")), "sizes")
+    counts = {r["bin_size"]: r["n"] for r in sizes.groupBy("bin_size").agg(F.sum("n").alias("n")).collect()}
+    plan = best_fit_plan(counts, capacity)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One number orders (size, rank).
+        starts = (plan[:, 0] << RANK_BITS) + plan[:, 1]
+        for batch in batches:
+            *kept, bins, place, size, ahead, rank = batch.columns
+            ahead = ahead.fill_null(-1).to_numpy(zero_copy_only=False)
+            bins, place = bins.to_numpy().copy(), place.to_numpy().copy()
+            on = np.flatnonzero(ahead >= 0)
+            size, number = size.to_numpy()[on], ahead[on] + rank.to_numpy()[on]
+            if len(on):
+                row = plan[np.searchsorted(starts, (size << RANK_BITS) + number, "right") - 1]
+                number = number - row[:, 1]
+                bins[on] = MERGED + row[:, 3] + number // row[:, 2]
+                place[on] += row[:, 4] + number % row[:, 2] * size
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(place)], names=[*_Block.names, "sequence_id", "offset"])
+
+    opened = sizes.select("block", "bin_size", "ahead")
+    rows = pieces.join(opened, ["block", "bin_size"], "left").select(*_Block.names, "bin", "place", "bin_size", "ahead", "rank")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -292,6 +292,25 @@ def test_packing_keeps_every_token(spark, odd):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 256) + 2
 
 
+def test_every_underfull_bin_is_packed_on(spark):
+    assert packing.left_open(np.full(5000, 1500), packing.SEQUENCE).all()
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        capacity = int(rng.integers(4, 80))
+        sizes = rng.integers(1, capacity + 1, rng.integers(1, 300))
+        plan = packing.best_fit_plan({int(k): int(n) for k, n in zip(*np.unique(sizes, return_counts=True), strict=True)}, capacity)
+        rows = [plan[(plan[:, 0] == s) & (plan[:, 1] <= r)][-1] for s, r in zip(sizes, packing.rank_in_size(sizes), strict=True)]
+        bins = [x[3] + (r - x[1]) // x[2] for x, r in zip(rows, packing.rank_in_size(sizes), strict=True)]
+        assert sorted(np.bincount(bins, weights=sizes)) == sorted(packing.best_fit(sizes, capacity)[2])
+    texts = [" ".join(["word"] * n) for n in rng.integers(130, 200, 300)] + [" ".join(["word"] * n) for n in range(20, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(40)
+    got = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), 256).toPandas().sort_values(["sequence_id", "offset"])
+    assert len(got) == len(texts) and (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all()
+    full = np.sort(got.groupby("sequence_id").length.sum())
+    goes_on = full[full < 256 - packing.SLACK]
+    assert full.max() <= 256 and (len(goes_on) < 2 or goes_on[:2].sum() > 256)
+
+
 def test_operators_take_odd_and_empty_tables(odd, none):
     tokenizer = tokenizer_file("word_bpe_49k.json")
     runs = [line_dedup.line_report, pii.find, exact_dedup.dedup, lm.score, language.identify, near_dedup.near_groups,
