@@ -117,16 +117,18 @@ def least_matches() -> list[tuple[int, int]]:
     """(bytes compared, matches needed): fewer leave the posterior of a similar pair below ``MISS``.
 
     With a uniform prior and m matches of n, P(p >= t) = P(Binomial(n + 1, t) <= m), where bytes of dissimilar
-    values also match once in 256.
+    values also match once in 256. A pair at the threshold itself is lost by a step with the chance
+    P(Binomial(n, t) < needed); over all steps these sum to at most ``MISS``.
     """
     t = PERCENT / 100
     t = t + (1 - t) / 256
     needed = []
     for n in STEPS:
-        below, m = 0.0, 0
+        below, lost, m = 0.0, 0.0, 0
         while True:
             below += math.comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
-            if below >= MISS:
+            lost += math.comb(n, m) * t ** m * (1 - t) ** (n - m)
+            if below >= MISS or lost > MISS / len(STEPS):
                 break
             m += 1
         needed.append((n, m))

@@ -266,6 +266,12 @@ def test_near_groups_equal_all_pairs(spark, chunk):
     assert got == exact_components(rows)
 
 
+def test_pruning_loses_few_pairs_over_all_steps():
+    t = 0.75 + 0.25 / 256
+    lost = [sum(math.comb(n, k) * t ** k * (1 - t) ** (n - k) for k in range(m)) for n, m in near_dedup.least_matches()]
+    assert sum(lost) <= near_dedup.MISS
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
