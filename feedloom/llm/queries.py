@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, language, line_dedup, lm, near_dedup, packing, pieces, pii, topk_search, url_filter
+from feedloom.llm import (
+    divergence, exact_dedup, language, leaks, line_dedup, lm, near_dedup, packing, pieces, pii, spelling, topk_search, url_filter,
+)
 from feedloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +148,85 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
+
+
+@query(r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), tokens AS (
+    SELECT lang, source, term, count(DISTINCT row) AS docs, count(*) AS n
+    FROM (SELECT lang, source, row, unnest(terms) AS term FROM docs) GROUP BY ALL
+), vocabulary AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n FROM tokens GROUP BY lang, term HAVING sum(docs) >= 10
+), sizes AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM vocabulary GROUP BY lang
+), counts AS (
+    SELECT t.lang, t.source, t.term, t.n::HUGEINT AS n FROM tokens t JOIN vocabulary USING (lang, term)
+), groups AS (
+    SELECT g.lang, g.source, coalesce(any_value(v), 0) AS v, coalesce(sum(c.n), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source)
+    GROUP BY g.lang, g.source
+), spread AS (
+    SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS count,
+        1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.v) AS p,
+        1 + (1000000000 * (t.n + 2)) // (s.n + 2 * s.v) AS q
+    FROM groups g JOIN vocabulary t USING (lang) JOIN sizes s USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM spread a JOIN spread b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM spread WHERE count > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 10
+""")
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(documents(spark, folder))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(documents(spark, folder))
+
+
+@query(r"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS run
+    FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM items WHERE len(w) > 0)
+), places AS (
+    SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS run
+    FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), found AS (
+    SELECT doc_id, item_id, size, i FROM places JOIN windows USING (size, run)
+), hits AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS k FROM found) GROUP BY doc_id
+), met AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN met USING (doc_id)
+""")
+def op13_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks.report(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.drop("spans")

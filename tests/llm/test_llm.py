@@ -49,7 +49,7 @@ def small_docs():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     got, want = QUERIES[name](spark, SMALL).toPandas(), con.sql(ORACLES[name]).df()
     columns = sorted(want.columns)
