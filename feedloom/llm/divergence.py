@@ -2,8 +2,8 @@
 
 Texts are normalised to terms once and written apart by language. A ``CountVectorizer`` per language, with ``min_docs``
 as minDF and the largest vocabSize there is, keeps every term of enough documents and turns each document into an exact
-sparse vector. The vectors are summed per source, entry by entry, so a sum holds only the terms of its source and hot
-sources are combined ahead of the shuffle.
+sparse vector. The vectors are summed per source as a summarizer does, into a buffer per source in each task, whose
+cells are bounded; only what is not zero is shuffled, so a hot source is no more than one row per task and term.
 
 A vocabulary passes through the driver, so it is kept to a bound: where a language may have more than ``SLICE_TERMS``
 terms, they are cut into hashed slices with a ``CountVectorizer`` each. Counts and sums add up over slices.
@@ -39,6 +39,9 @@ SLICE_TERMS = 4_000_000
 # Entries of a block of terms, and of sums of pairs that a task holds.
 BLOCK_ENTRIES = 200_000
 FLUSH_PAIRS = 500_000
+# Cells of the sums of sparse vectors that a task holds: 8 bytes each.
+SUM_CELLS = 12_000_000
+OUT_ROWS = 100_000
 # No term is empty: this one keeps a vocabulary from being empty.
 FILLER = ""
 # Bytes that are no part of a term become spaces, A-Z become a-z.
@@ -62,30 +65,76 @@ def normalised(docs: DataFrame) -> DataFrame:
 
 
 def terms_of(slices: int, part: int) -> Column:
-    """Terms of a document, or of one slice of them."""
-    terms = F.filter(F.split("terms", " "), lambda t: t != "")
+    """Terms of a document, or of one slice of them. A document without terms has the filler alone."""
+    terms = F.split("terms", " ")
     return terms if slices == 1 else F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == part)
 
 
-def fitted(rows: DataFrame, min_docs: int) -> CountVectorizerModel:
-    """Terms of at least ``min_docs`` rows, numbered in the order of their UTF-8 bytes, the filler first."""
+def fitted(rows: DataFrame, min_docs: int) -> tuple[CountVectorizerModel, list[str], np.ndarray]:
+    """The model of all terms of at least ``min_docs`` rows, these terms in the order of their UTF-8 bytes, the filler
+    first, and the number in this order of each index of the model.
+    """
     filler = rows.sparkSession.range(min_docs).select(F.array(F.lit(FILLER)).alias("terms"))
-    found = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MAX_VOCABULARY).fit(rows.select("terms").unionByName(filler))
-    ordered = sorted(found.vocabulary, key=str.encode)
-    return CountVectorizerModel.from_vocabulary(ordered, inputCol="terms", outputCol="vector")
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=MAX_VOCABULARY).fit(rows.select("terms").unionByName(filler))
+    found = model.vocabulary
+    order = sorted(range(len(found)), key=lambda i: found[i].encode())
+    numbers = np.empty(len(order), np.int32)
+    numbers[order] = np.arange(len(order), dtype=np.int32)
+    return model, [found[i] for i in order], numbers
 
 
-def source_sums(rows: DataFrame, model: CountVectorizerModel) -> DataFrame:
-    """(source, term, n): the sum of the sparse vectors of each source."""
+class SumBuffer:
+    """Sums of sparse vectors per source, in a dense array for each, up to a bound of cells."""
+
+    def __init__(self, size: int):
+        self.size, self.sums = size, {}
+
+    def add(self, source: str, terms: np.ndarray, counts: np.ndarray) -> None:
+        if source not in self.sums:
+            self.sums[source] = np.zeros(self.size, np.int64)
+        np.add.at(self.sums[source], terms, counts)
+
+    def full(self) -> bool:
+        return len(self.sums) * self.size > SUM_CELLS
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for source, sums in self.sums.items():
+            terms = np.flatnonzero(sums)
+            # The filler is no term.
+            terms = terms[terms > 0]
+            for begin in range(0, len(terms), OUT_ROWS):
+                part = terms[begin:begin + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([source] * len(part), pa.string()), pa.array(part, pa.int32()), pa.array(sums[part])], names=["source", "term", "n"])
+        self.sums = {}
+
+
+def source_sums(rows: DataFrame, model: CountVectorizerModel, numbers: np.ndarray) -> DataFrame:
+    """(source, term, n): the sum of the sparse vectors of each source, added up within tasks first."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = SumBuffer(len(numbers))
+        for batch in batches:
+            indices, values = batch.column(1), batch.column(2)
+            ends = indices.offsets.to_numpy()
+            terms, counts = numbers[indices.values.to_numpy()], values.values.to_numpy().astype(np.int64)
+            for i, source in enumerate(batch.column(0).to_pylist()):
+                held.add(source, terms[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]])
+            if held.full():
+                yield from held.batches()
+        yield from held.batches()
+
     vector = F.unwrap_udt(F.col("vector"))
-    entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("term"), vector["values"].alias("n"))))
-    return entries.groupBy("source", "term").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    entries = model.transform(rows).select("source", vector["indices"].alias("indices"), vector["values"].alias("counts"))
+    sums = entries.mapInArrow(run, "source string, term int, n long")
+    return sums.groupBy("source", "term").agg(F.sum("n").alias("n"))
 
 
 def probability(n: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (n + 2) / (total + 2 * terms)), in decimals that hold any long."""
-    top = F.lit(SCALE).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
-    return F.call_function("div", top, (total + 2 * terms).cast("decimal(20,0)")) + 1
+    """1 + floor(SCALE * (n + 2) / (total + 2 * terms)); in decimals where a long cannot hold the product."""
+    whole = (total + 2 * terms).cast("long")
+    wide = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)"), whole.cast("decimal(20,0)"))
+    return F.when(n < SCALE, F.call_function("div", F.lit(SCALE).cast("long") * (n + 2), whole)).otherwise(wide) + 1
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -226,11 +275,10 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
         rows = texts.filter(F.col("lang_no") == lang_no)
         for part in range(slices):
             cut = rows.select("source", terms_of(slices, part).alias("terms"))
-            model = fitted(cut, min_docs)
-            words = model.vocabulary
+            model, words, numbers = fitted(cut, min_docs)
             n_terms[lang_no] += len(words) - 1
             place = {"lang_no": F.lit(lang_no), "slice": F.lit(part)}
-            sums.append(source_sums(cut, model).withColumns(place))
+            sums.append(source_sums(cut, model, numbers).withColumns(place))
             words = pa.table({"term": pa.array(range(len(words)), pa.int32()), "item": words})
             names.append(spark.createDataFrame(words).withColumns(place))
     counts = pinned(_union(sums), "source-sums")
