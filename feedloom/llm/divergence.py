@@ -5,8 +5,9 @@ as minDF and the largest vocabSize there is, keeps every term of enough document
 sparse vector. The vectors are summed per source as a summarizer does, into a buffer per source in each task, whose
 cells are bounded; only what is not zero is shuffled, so a hot source is no more than one row per task and term.
 
-A vocabulary passes through the driver, so it is kept to a bound: where a language may have more than ``SLICE_TERMS``
-terms, they are cut into hashed slices with a ``CountVectorizer`` each. Counts and sums add up over slices.
+A vocabulary passes through the driver, so it is kept to a bound: where a language may keep more than ``SLICE_TERMS``
+terms, they are cut into hashed slices with a ``CountVectorizer`` each. Counts and sums add up over slices, so the
+result does not depend on their number.
 
 The divergence of two sources sums f over all terms. Terms that neither holds give a constant, terms of one alone depend
 only on their probability there, so those are evaluated once for each distinct probability; what remains are corrections
@@ -20,6 +21,7 @@ each. An empty table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,6 +44,7 @@ FLUSH_PAIRS = 500_000
 # Cells of the sums of sparse vectors that a task holds: 8 bytes each.
 SUM_CELLS = 12_000_000
 OUT_ROWS = 100_000
+SIZE_ONE_IN = 8
 # No term is empty: this one keeps a vocabulary from being empty.
 FILLER = ""
 # Bytes that are no part of a term become spaces, A-Z become a-z.
@@ -64,6 +67,17 @@ def normalised(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, source string, terms string")
 
 
+def expected_terms(texts: DataFrame, min_docs: int) -> dict[int, float]:
+    """About how many terms a language keeps, from above; it sizes slices and decides no result.
+
+    A term of ``min_docs`` documents is met among one in ``SIZE_ONE_IN`` of them with a known chance, so the
+    terms met there, over this chance, are as many as the kept ones or more.
+    """
+    chance = 1 - (1 - 1 / SIZE_ONE_IN) ** min_docs
+    met = texts.filter(F.rand(11) * SIZE_ONE_IN < 1).select("lang_no", F.explode(F.split("terms", " ")).alias("term"))
+    return {r["lang_no"]: r["n"] / chance for r in met.groupBy("lang_no").agg(F.approx_count_distinct("term").alias("n")).collect()}
+
+
 def terms_of(slices: int, part: int) -> Column:
     """Terms of a document, or of one slice of them. A document without terms has the filler alone."""
     terms = F.split("terms", " ")
@@ -266,12 +280,11 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
     number = F.array_position(F.lit(sorted(langs)), F.col("lang")).cast("int")
     normalised(docs).withColumn("lang_no", number).write.partitionBy("lang_no").parquet(path)
     texts = spark.read.schema("lang string, source string, terms string, lang_no int").parquet(path)
-    sizes = texts.select("lang_no", F.explode(F.split("terms", " ")).alias("term"))
-    sizes = {r["lang_no"]: r["n"] for r in sizes.groupBy("lang_no").agg(F.approx_count_distinct("term").alias("n")).collect()}
+    sizes = expected_terms(texts, min_docs)
 
     sums, names, n_terms = [], [], {}
     for lang_no in range(1, len(langs) + 1):
-        slices, n_terms[lang_no] = max(1, -(-sizes[lang_no] // slice_terms)), 0
+        slices, n_terms[lang_no] = max(1, math.ceil(sizes.get(lang_no, 0) / slice_terms)), 0
         rows = texts.filter(F.col("lang_no") == lang_no)
         for part in range(slices):
             cut = rows.select("source", terms_of(slices, part).alias("terms"))
@@ -285,8 +298,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
     names = pinned(_union(names), "terms")
     groups = source_groups(spark, texts, counts, n_terms)
     known = Groups(groups.select("lang_no", "source_no", "n_terms", "absent").collect())
-    pairs = divergent_pairs(counts, groups, known)
-    return pairs.unionByName(departing_terms(counts, groups, names, top)).select("lang", "source", "part", "item", "value", "rank")
+    entries = pinned(probabilities(counts, groups), "entries")
+    pairs = divergent_pairs(entries, groups, known)
+    return pairs.unionByName(departing_terms(entries, groups, names, top)).select("lang", "source", "part", "item", "value", "rank")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -310,11 +324,20 @@ def source_groups(spark: SparkSession, texts: DataFrame, counts: DataFrame, n_te
     ), "groups")
 
 
-def divergent_pairs(counts: DataFrame, groups: DataFrame, known: Groups) -> DataFrame:
+def probabilities(counts: DataFrame, groups: DataFrame) -> DataFrame:
+    """For every term of a source its probability there, ``p``, and in the language, ``q``."""
     numbers = groups.select("lang_no", "source", "source_no", "total", "n_terms")
-    entries = counts.join(numbers, ["lang_no", "source"]).select(
-        "lang_no", "slice", "term", "source_no", probability(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"))
-    entries = pinned(entries, "entries")
+    totals = groups.groupBy("lang_no").agg(F.sum("total").alias("lang_total"))
+    # One row per source is all that a term of a language has.
+    whole = Window.partitionBy("lang_no", "slice", "term")
+    rows = counts.join(numbers, ["lang_no", "source"]).join(totals, "lang_no").withColumn("lang_n", F.sum("n").over(whole))
+    return rows.select(
+        "lang_no", "slice", "term", "source_no", probability(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"),
+        probability(F.col("lang_n"), F.col("lang_total"), F.col("n_terms")).alias("q"),
+    )
+
+
+def divergent_pairs(entries: DataFrame, groups: DataFrame, known: Groups) -> DataFrame:
     blocks = max(1, -(-entries.count() // BLOCK_ENTRIES))
     parts = _union([without_terms(groups, known), of_one_source(entries, known), of_shared_terms(entries, known, F.lit(blocks))])
     sums = parts.groupBy("lang_no", "one", "two").agg(F.sum("value").alias("value"))
@@ -324,15 +347,9 @@ def divergent_pairs(counts: DataFrame, groups: DataFrame, known: Groups) -> Data
     return ranked(rows, "item", "lang", "source").select("lang", "source", "part", "item", "value", "rank")
 
 
-def departing_terms(counts: DataFrame, groups: DataFrame, names: DataFrame, top: int) -> DataFrame:
+def departing_terms(entries: DataFrame, groups: DataFrame, names: DataFrame, top: int) -> DataFrame:
     """The ``top`` terms of each source that are more probable there than in its language."""
-    whole = counts.groupBy("lang_no", "slice", "term").agg(F.sum("n").alias("lang_n"))
-    totals = groups.groupBy("lang_no").agg(F.sum("total").alias("lang_total"))
-    rows = counts.join(groups, ["lang_no", "source"]).join(whole, ["lang_no", "slice", "term"]).join(totals, "lang_no")
-    rows = rows.select(
-        "lang_no", "slice", "term", "lang", "source",
-        probability(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"), probability(F.col("lang_n"), F.col("lang_total"), F.col("n_terms")).alias("q"),
-    ).filter("p > q")
+    rows = entries.filter("p > q").join(groups.select("lang_no", "lang", "source", "source_no"), ["lang_no", "source_no"])
     rows = rows.withColumn("value", F.expr("(p - q) * (p - q) div (p + q)"))
     # Numbers of terms are in the order of their bytes within a slice, so ties need no names yet.
     best = ranked(rows, "term", "lang", "source", "slice").filter(F.col("rank") <= top).drop("rank")
