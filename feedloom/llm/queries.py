@@ -38,20 +38,19 @@ WITH lines AS (
     SELECT doc_id, line, raw, trim(regexp_replace(raw, '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS clean
     FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents)
-), counted AS (
-    SELECT *, sum(words) OVER (PARTITION BY doc_id) AS total,
-        sum(words) OVER (PARTITION BY doc_id ORDER BY line) - words AS before
-    FROM (SELECT *, len(string_split(clean, ' ')) AS words FROM lines WHERE clean <> '')
-), spans AS (
-    SELECT doc_id, line, max(line) OVER span AS last, array_to_string(list(clean) OVER span, chr(10)) AS run, total - before AS ahead
-    FROM counted
-    WINDOW span AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
-), later AS (
-    SELECT doc_id, line, last FROM (
-        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS nth FROM spans WHERE ahead >= 50
-    ) WHERE nth > 1
+), full AS (
+    SELECT doc_id, line, clean, len(string_split(clean, ' ')) AS words,
+        row_number() OVER (PARTITION BY doc_id ORDER BY line) AS n
+    FROM lines WHERE clean <> ''
+), pairs AS (
+    SELECT a.doc_id AS earlier, b.doc_id, b.line, b.words, b.n - a.n AS shift, b.n
+    FROM full a JOIN full b ON a.clean = b.clean AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.n < b.n)
+), runs AS (
+    SELECT doc_id, min(line) AS line, max(line) AS last FROM (
+        SELECT *, n - row_number() OVER (PARTITION BY earlier, doc_id, shift ORDER BY n) AS island FROM pairs
+    ) GROUP BY earlier, doc_id, shift, island HAVING sum(words) >= 50
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(generate_series(line, last)) AS line FROM later
+    SELECT DISTINCT doc_id, unnest(generate_series(line, last)) AS line FROM runs
 )
 SELECT l.doc_id AS doc_id, count(*) AS n_lines, count(g.line) AS n_deleted,
     sha256(coalesce(string_agg(raw, chr(10) ORDER BY l.line) FILTER (WHERE g.line IS NULL), '')) AS left_sha256
