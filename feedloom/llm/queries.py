@@ -38,13 +38,13 @@ WITH lines AS (
     SELECT doc_id, line, raw, trim(regexp_replace(raw, '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS clean
     FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents)
-), full AS (
+), worded AS (
     SELECT doc_id, line, clean, len(string_split(clean, ' ')) AS words,
         row_number() OVER (PARTITION BY doc_id ORDER BY line) AS n
     FROM lines WHERE clean <> ''
 ), pairs AS (
     SELECT a.doc_id AS earlier, b.doc_id, b.line, b.words, b.n - a.n AS shift, b.n
-    FROM full a JOIN full b ON a.clean = b.clean AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.n < b.n)
+    FROM worded a JOIN worded b ON a.clean = b.clean AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.n < b.n)
 ), runs AS (
     SELECT doc_id, min(line) AS line, max(line) AS last FROM (
         SELECT *, n - row_number() OVER (PARTITION BY earlier, doc_id, shift ORDER BY n) AS island FROM pairs
