@@ -254,6 +254,8 @@ def signatures(texts: DataFrame) -> DataFrame:
                 pa.array([s.tobytes() for s in signs], pa.binary()),
                 pa.array([k.tobytes() for k in keys.astype(np.uint32)], pa.binary()), pa.array(list(keys), pa.list_(pa.int64())),
             ], names=["row", "size", "digest", "sign", "marks", "bands"])
+        # The worker goes on to other work, so it keeps no words.
+        word_hashes().clear()
 
     rows = texts.mapInArrow(run, "row long, size long, digest binary, sign binary, marks binary, bands array<long>")
     return rows.dropDuplicates(["row"])
@@ -322,6 +324,7 @@ def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = first_of_each(batch)
             sets = [shingle_set(t).tobytes() for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        word_hashes().clear()
 
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     rows = texts.join(side, texts["row"] == side["node"], "left_semi").select("row", "text")

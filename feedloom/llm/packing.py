@@ -32,11 +32,13 @@ SEQUENCE = 2048
 END_ID = 0
 # A bin with at most so many free places is done.
 SLACK = 16
-BLOCK_ITEMS = 200_000
+BLOCK_ITEMS = 50_000
 # Bins of a partition count from its number, merged ones from above all of those.
 BIN_BITS, MERGED = 33, 1 << 62
 RANK_BITS = 48
-CACHE_WORDS = 700_000
+CACHE_WORDS = 450_000
+LEARN_WORDS = 4_000
+WORD_END = "</w>"
 
 # Letters or digits followed by ASCII marks other than the apostrophe.
 TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
@@ -55,15 +57,38 @@ class WordEncoder:
         apart = [i for w in probe.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
         if whole != apart:
             raise ValueError("only tokenizers that split at white space are handled")
+        vocabulary = self.tokenizer.get_vocab()
+        # Ids of tokens that end a word; words of letters alone have one each, at their end.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.cache: dict[bytes, bytes] = {}
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        """Words of letters, encoded as one text and told apart by the tokens that end a word."""
+        ids = self._ids(b" ".join(words).decode())
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) != len(words):
+            self._learn_apart(words)
+            return
+        data, ends = ids.tobytes(), ends.tolist()
+        self.cache.update(zip(words, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+
+    def _learn_apart(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.cache.update(zip(words, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+
     def _learn(self, words: list[bytes]) -> None:
         """Add new words to the cache. A tail of plain marks is a token group of its own and is looked up apart."""
-        tails = {w: m for w in words if b"<|" not in w and (m := TAIL(w))}
+        tails = {w: m for w in words if w[-1] < 0x80 and not w[-1:].isalnum() and b"<|" not in w and (m := TAIL(w))}
         parts = {m[g] for m in tails.values() for g in (1, 2)} | {w for w in words if w not in tails}
         new = list(parts - self.cache.keys())
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.cache.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in found], strict=True))
+        letters = [w for w in new if w.isalpha() or w.decode().isalpha()]
+        for i in range(0, len(letters), LEARN_WORDS):
+            self._learn_letters(letters[i:i + LEARN_WORDS])
+        self._learn_apart(list(set(new).difference(letters)))
         for w, m in tails.items():
             self.cache[w] = self.cache[m[1]] + self.cache[m[2]]
 
@@ -72,7 +97,7 @@ class WordEncoder:
         cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        missing = list({w for words in cut for w in words} - self.cache.keys())
+        missing = list(set().union(*cut) - self.cache.keys())
         for i in range(0, len(missing), 20_000):
             self._learn(missing[i:i + 20_000])
         get = self.cache.__getitem__
@@ -205,6 +230,8 @@ def local_pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
                 yield block.packed()
         if block and block.rows[0]:
             yield block.packed()
+        # The worker goes on to other work, so it keeps no words.
+        encode.cache.clear()
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
