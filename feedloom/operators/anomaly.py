@@ -13,8 +13,16 @@ METRICS = ("score", "num_comments", "popularity_score")
 LIMIT = 3.0
 
 
+def finite(value: Column) -> Column:
+    """The value as a double, NULL if it is NaN or infinite: one such value would spoil any mean."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+
+
 def _z(value: Column, mean: Column, std: Column) -> Column:
-    return F.abs(F.try_divide(value - mean, std))
+    """Distance from the mean in deviations; NULL for NaN, so NaN is never flagged, while infinity always is."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number), F.abs(F.try_divide(number - mean, std)))
 
 
 def _flagged(df: DataFrame, metrics: tuple[str, ...], limit: float) -> DataFrame:
@@ -27,13 +35,19 @@ def _flagged(df: DataFrame, metrics: tuple[str, ...], limit: float) -> DataFrame
     return df.withColumn("_hit", F.explode(hit)).select("*", "_hit.*").drop("_hit", *drop)
 
 
+def flagged(df: DataFrame, metrics: tuple[str, ...] = METRICS, limit: float = LIMIT) -> DataFrame:
+    """Outliers of rows that carry ``<metric>_mean`` and ``<metric>_std``."""
+    z = {f"{m}_z": _z(F.col(m), F.col(f"{m}_mean"), F.col(f"{m}_std")) for m in metrics}
+    return _flagged(df.withColumns(z), metrics, limit)
+
+
 def anomalies(
     df: DataFrame, metrics: tuple[str, ...] = METRICS, limit: float = LIMIT
 ) -> DataFrame:
     """Outliers against the whole frame; its statistics are one row, read as a scalar subquery."""
-    numbers = df.select(*[F.col(m).cast("double").alias(m) for m in metrics])
+    numbers = df.select(*[finite(F.col(m)).alias(m) for m in metrics])
     row = mean_and_spread(numbers, list(metrics)).select(F.struct("*").alias("s"))
-    z = {f"{m}_z": _z(F.col(m).cast("double"), F.col("_s")[f"{m}_mean"], F.col("_s")[f"{m}_std"]) for m in metrics}
+    z = {f"{m}_z": _z(F.col(m), F.col("_s")[f"{m}_mean"], F.col("_s")[f"{m}_std"]) for m in metrics}
     return _flagged(df.withColumn("_s", row.scalar()).withColumns(z).drop("_s"), metrics, limit)
 
 
@@ -45,7 +59,6 @@ def anomalies_by(
     The statistics are aggregated with map-side combine and written once; the rows then
     stay where they are unless the statistics turn out too large to broadcast.
     """
-    numbers = df.select(group, *[F.col(m).cast("double").alias(m) for m in metrics])
+    numbers = df.select(group, *[finite(F.col(m)).alias(m) for m in metrics])
     stats = pinned(mean_and_spread(numbers, list(metrics), group), "group-stats")
-    z = {f"{m}_z": _z(F.col(m).cast("double"), F.col(f"{m}_mean"), F.col(f"{m}_std")) for m in metrics}
-    return _flagged(lookup(df, stats, group, "inner").withColumns(z), metrics, limit)
+    return flagged(lookup(df, stats, group, "inner"), metrics, limit)

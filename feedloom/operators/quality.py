@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedloom.functions import numeric
 from feedloom.schemas import PUBLISHED_COLUMNS, RECORD_METRICS, SENTINELS
@@ -28,6 +30,13 @@ def decimals(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(numeric.DECIMAL) for c in floats}) if floats else df
 
 
+def fits_decimals(df: DataFrame) -> Column:
+    """Whether every floating-point value of a row that is there has a decimal: it is a number and not too large."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    good = [F.col(c).isNull() | F.col(c).try_cast(numeric.DECIMAL).isNotNull() for c in floats]
+    return reduce(Column.__and__, good, F.lit(True))
+
+
 def defaults(df: DataFrame, values: dict[str, object]) -> DataFrame:
     """Missing values of the named columns take a default."""
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})

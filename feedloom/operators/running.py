@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from feedloom.session import pinned
+
+SLICE_ROWS = 200_000
+
 
 def running_count(
     df: DataFrame, key: str, order: list[str], slices: list[Column], out: str = "author_activity_count"
@@ -37,6 +41,20 @@ def running_count(
     )
 
 
+def sliced(
+    df: DataFrame, key: str, order: list[str], rows: int = SLICE_ROWS, out: str = "_slice"
+) -> DataFrame:
+    """Tag rows with consecutive slices of about ``rows`` rows in the order of the key and ``order``.
+
+    The slices are the ranges of a range partitioning, so a key that holds most rows is cut by its number of
+    rows however close together they are in time. Written once, so the ranges stay as they were drawn.
+    """
+    parts = -(-df.count() // rows)
+    if parts < 2:
+        return df.withColumn(out, F.lit(0))
+    return pinned(df.repartitionByRange(parts, key, *order).withColumn(out, F.spark_partition_id()), "slices")
+
+
 def numbered(df: DataFrame, order: list[str], slices: list[Column], out: str) -> DataFrame:
     """Number all rows from 1 in the given order, without sorting them in one task."""
     whole = running_count(df.withColumn("_whole", F.lit(0)), "_whole", order, slices, out)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.functions import numeric
 from feedloom.operators import shape
+from feedloom.operators.anomaly import METRICS
 from feedloom.plans import observations
 from feedloom.plans.posts import enrich
 from feedloom.queries.logistics import (
@@ -20,7 +22,8 @@ from feedloom.queries.views import (
 from feedloom.session import new_dir
 from feedloom.sources import items, readers
 from feedloom.streaming import jobs
-from feedloom.streaming.activity import author_counts
+from feedloom.streaming.activity import author_counts, counted_batch
+from feedloom.streaming.windows import window_anomalies
 
 
 def _event_stream(spark, folder):
@@ -53,14 +56,154 @@ def stream_enrich(spark, folder):
     return done.withColumn("title_tokens", F.array_join("title_tokens", " ")).select(*ENRICHED_COLUMNS)
 
 
-@query(f"""
+def _time_slices(spark, folder, parts=4):
+    """The events cut into equal spans of their time, oldest first."""
+    events = table(spark, folder, "events")
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(time), F.max(time)).first()
+    for k in range(parts):
+        rows = events
+        if k:
+            rows = rows.where(time >= first + (last - first) * k // parts)
+        if k + 1 < parts:
+            rows = rows.where(time < first + (last - first) * (k + 1) // parts)
+        yield rows
+
+
+def _landing(spark, folder):
+    """A folder that the slices of the events land in one after the other, and the stream over it."""
+    landing = new_dir(spark, "landing")
+    schema = table(spark, folder, "events").schema
+    spark.createDataFrame([], schema).write.parquet(landing)
+    return landing, readers.read_stream(spark, "parquet", landing, schema)
+
+
+def _slice_by_slice(spark, folder, step):
+    """Land each slice and run ``step`` over what is new, from the checkpoint it left."""
+    landing, stream = _landing(spark, folder)
+    for part in _time_slices(spark, folder):
+        part.write.mode("append").parquet(landing)
+        step(stream)
+
+
+COUNTED_SQL = f"""
 WITH {POSTS} SELECT id, author,
   count(*) OVER (PARTITION BY author ORDER BY created, id ROWS UNBOUNDED PRECEDING) AS author_activity_count
 FROM posts
-""")
+"""
+
+
+@query(COUNTED_SQL)
 def stream_author_count(spark, folder):
-    events = as_posts(_event_stream(spark, folder)).select("id", "author", "created")
-    return _finished(author_counts(events, "author", ["created", "id"]), "author-count").drop("created")
+    """Counts kept in the state store, over four runs from one checkpoint."""
+    root = new_dir(spark, "author-count")
+
+    def step(stream):
+        counted = author_counts(as_posts(stream).select("id", "author", "created"), "author", ["created", "id"])
+        jobs.run(counted, f"{root}/checkpoint", path=f"{root}/out", once=True)
+
+    _slice_by_slice(spark, folder, step)
+    return spark.read.parquet(f"{root}/out").drop("created")
+
+
+@query(COUNTED_SQL)
+def stream_author_count_buckets(spark, folder):
+    """Counts from bucketed totals and slices of bounded row count, over four batches."""
+    root = new_dir(spark, "author-buckets")
+
+    def batch(rows, batch_id):
+        rows = rows.persist()
+        try:
+            counted = counted_batch(rows, f"{root}/totals", batch_id, order=("created", "id"), buckets=8)
+            counted.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+
+    def step(stream):
+        jobs.run(as_posts(stream).select("id", "author", "created"), f"{root}/checkpoint", batch=batch, once=True)
+
+    _slice_by_slice(spark, folder, step)
+    return spark.read.parquet(f"{root}/out").select("id", "author", "author_activity_count")
+
+
+@query(f"""
+WITH {ENRICHED}, counted AS (
+  SELECT *, count(*) OVER (PARTITION BY author ORDER BY created_time, id ROWS UNBOUNDED PRECEDING) AS author_activity_count
+  FROM enriched
+)
+SELECT author, subreddit, id, author_activity_count, post_type, round(popularity_score, 6) AS popularity_score
+FROM (SELECT *, row_number() OVER (PARTITION BY author, subreddit ORDER BY created_time DESC, author_activity_count DESC) AS nth FROM counted)
+WHERE nth = 1
+""")
+def stream_upsert_latest(spark, folder):
+    """Each author's latest post per category from the post job: most rows are overwritten by later batches."""
+    root = new_dir(spark, "latest")
+    handle = jobs.post_batch(title_lexicon(spark, folder), root, as_of(), latest=("author", "subreddit"), buckets=8)
+
+    def step(stream):
+        jobs.run(shape.keyed_json(as_records(stream)), f"{root}/checkpoint", batch=handle, once=True)
+
+    _slice_by_slice(spark, folder, step)
+    return spark.read.parquet(f"{root}/latest").select(
+        "author", "subreddit", "id", "author_activity_count", "post_type",
+        F.round(F.col("popularity_score").cast("double"), 6).alias("popularity_score"),
+    )
+
+
+@query(f"""
+WITH {POSTS}, slices AS (
+  SELECT id, CASE WHEN epoch_us(created) < cut THEN 'old' ELSE 'new' END AS age
+  FROM posts, (SELECT epoch_us(min(created)) + (epoch_us(max(created)) - epoch_us(min(created))) // 2 AS cut FROM posts)
+), parts AS (
+  SELECT 'tail' AS start, * FROM slices WHERE age = 'new' UNION ALL SELECT 'replay', * FROM slices
+  UNION ALL SELECT 'resume', * FROM slices
+)
+SELECT start, count(*) AS rows, sum(id)::BIGINT AS ids FROM parts GROUP BY start
+""")
+def stream_start_positions(spark, folder):
+    """What three streams read that start when the older half is there: its end, its begin, and an interrupted one."""
+    root = new_dir(spark, "starts")
+    landing, stream = _landing(spark, folder)
+    narrow_stream = stream.select("event_id")
+    for nth, part in enumerate(_time_slices(spark, folder, 2)):
+        part.write.mode("append").parquet(landing)
+        # The tail starts here without a row to read, and reads what lands next.
+        jobs.run(narrow_stream, f"{root}/tail-checkpoint", path=f"{root}/start=tail", once=True, start=jobs.TAIL)
+        jobs.run(narrow_stream, f"{root}/resume-checkpoint", path=f"{root}/start=resume", once=True)
+        if nth:
+            jobs.run(narrow_stream, f"{root}/replay-checkpoint", path=f"{root}/start=replay", once=True, start=jobs.REPLAY)
+    read = [
+        spark.read.schema("event_id long").parquet(f"{root}/start={s}").select(F.lit(s).alias("start"), "event_id")
+        for s in (jobs.TAIL, jobs.RESUME, jobs.REPLAY)
+    ]
+    return shape.union_all(read).groupBy("start").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
+
+
+@query(f"""
+WITH {POSTS}, p AS (
+  SELECT id, created, make_timestamp(epoch_us(created) // 21600000000 * 21600000000) AS window_start, max(created) OVER () AS last,
+    score, num_comments, score * upvote_ratio + num_comments * 0.5::DOUBLE AS popularity_score FROM posts
+), z AS (
+  SELECT id, window_start, last, 'score' AS metric, abs((score - avg(score) OVER w) / nullif(stddev_samp(score) OVER w, 0)) AS z_score FROM p WINDOW w AS (PARTITION BY window_start)
+  UNION ALL SELECT id, window_start, last, 'num_comments', abs((num_comments - avg(num_comments) OVER w) / nullif(stddev_samp(num_comments) OVER w, 0)) FROM p WINDOW w AS (PARTITION BY window_start)
+  UNION ALL SELECT id, window_start, last, 'popularity_score', abs((popularity_score - avg(popularity_score) OVER w) / nullif(stddev_samp(popularity_score) OVER w, 0)) FROM p WINDOW w AS (PARTITION BY window_start)
+)
+SELECT id, metric, epoch_us(window_start) AS window_start, round(z_score, 6) AS z_score FROM z
+WHERE z_score > 2.5 AND window_start + INTERVAL 6 HOUR <= last - INTERVAL 10 MINUTE
+""")
+def stream_window_anomalies(spark, folder):
+    """Outliers of six hours of event time, from a stream of four batches; the last windows are still open."""
+    root = new_dir(spark, "window-anomalies")
+
+    def step(stream):
+        value = numeric.popularity(F.col("score"), F.col("upvote_ratio"), F.col("num_comments"))
+        scored = as_posts(stream).withColumn("popularity_score", value).select("id", "created", *METRICS)
+        found = window_anomalies(scored, "created", "id", width="6 hours", limit=2.5, salts=4)
+        log = found.select("id", "metric", F.unix_micros("window_start").alias("window_start"), F.round("z_score", 6).alias("z_score"))
+        jobs.run(log, f"{root}/checkpoint", path=f"{root}/out", once=True)
+
+    _slice_by_slice(spark, folder, step)
+    return spark.read.schema("id long, metric string, window_start long, z_score double").parquet(f"{root}/out")
 
 
 def _post_job(spark, folder):

@@ -61,7 +61,12 @@ def read_items(
 
 
 def compact(spark: SparkSession, table: str, upto: int, keys: list[str]) -> None:
-    """Fold all batches up to ``upto`` into a new base. Older folders stay for running readers."""
+    """Fold all batches up to ``upto`` into a new base. Older folders stay for running readers.
+
+    A base that stands already is left as it is, so a retried batch may ask for it again.
+    """
+    if upto in _complete(spark, f"{table}/base", "upto"):
+        return
     merged = read_items(spark, table, keys, before=upto + 1)
     if merged is not None:
         merged.write.mode("overwrite").parquet(f"{table}/base/upto={upto}")

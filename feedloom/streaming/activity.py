@@ -6,15 +6,13 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedloom.operators.lookups import lookup
-from feedloom.operators.running import running_count
-from feedloom.plans.posts import created_hour
-from feedloom.sources.items import compact, read_items, upsert
+from feedloom.operators.lookups import fits
+from feedloom.operators.running import SLICE_ROWS, running_count, sliced
+from feedloom.sources.buckets import BUCKETS, merge_totals
 
 COUNT = "author_activity_count"
-_COMPACT_EVERY = 20
 
 
 def author_counts(events: DataFrame, author: str, order: list[str], out: str = COUNT) -> DataFrame:
@@ -40,30 +38,19 @@ def author_counts(events: DataFrame, author: str, order: list[str], out: str = C
 def counted_batch(
     batch: DataFrame, totals: str, batch_id: int, author: str = "author",
     order: tuple[str, ...] = ("created_time", "id"), out: str = COUNT,
+    slice_rows: int = SLICE_ROWS, buckets: int = BUCKETS, expired: Column | None = None,
 ) -> DataFrame:
     """The same count inside ``foreachBatch``, for batches where one author may hold most rows.
 
-    Rows are numbered within the batch by time slices and shifted by the author's total
-    from earlier batches. The new totals are recorded under this batch, so a retry reads
-    and writes the same numbers.
+    Two levels: rows are numbered within slices of bounded row count, each shifted by the author's rows in earlier
+    slices, and all by the author's total from earlier batches. That comes from a bucketed table, of which only the
+    buckets of the batch's authors are read and replaced; it lets a retry count from the same total. ``expired``
+    forgets authors by the first column of ``order`` that was last seen of them.
     """
-    spark: SparkSession = batch.sparkSession
-    local = running_count(batch, author, list(order), [created_hour()], out)
-    added = batch.groupBy(author).agg(F.count(F.lit(1)).alias("total"))
-    before = read_items(spark, totals, [author], before=batch_id)
-    if before is None:
-        upsert(added, totals, batch_id, [author], ["total"])
-        return local
-    known = before.select(author, F.col("total").alias("_earlier"))
-    sums = added.join(known, author, "left").select(
-        author, (F.col("total") + F.coalesce("_earlier", F.lit(0))).alias("total")
-    )
-    upsert(sums, totals, batch_id, [author], ["total"])
-    if batch_id % _COMPACT_EVERY == 0:
-        compact(spark, totals, batch_id - 1, [author])
-    touched = known.join(added.select(author), author, "left_semi")
-    return (
-        lookup(local, touched, author)
-        .withColumn(out, F.col(out) + F.coalesce("_earlier", F.lit(0)))
-        .drop("_earlier")
-    )
+    before = merge_totals(batch, totals, batch_id, [author], order[0], buckets, expired)
+    cut = sliced(batch, author, list(order), slice_rows)
+    local = running_count(cut, author, list(order), [F.col("_slice")], out).drop("_slice")
+    known = before.where("earlier > 0").select(F.col(author).alias("_author"), F.col("earlier").alias("_earlier"))
+    side = F.broadcast(known) if fits(known) else known
+    joined = local.join(side, local[author].eqNullSafe(F.col("_author")), "left")
+    return joined.withColumn(out, F.col(out) + F.coalesce("_earlier", F.lit(0))).drop("_author", "_earlier")

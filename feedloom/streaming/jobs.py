@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.anomaly import anomalies
-from feedloom.operators.quality import decimals
+from feedloom.operators.quality import decimals, fits_decimals
 from feedloom.operators.shape import decode
 from feedloom.plans.posts import enrich, is_usable
 from feedloom.schemas import POST_EVENT
 from feedloom.session import spread
-from feedloom.sources.items import upsert
+from feedloom.sources.buckets import BUCKETS, exists, merge_items
+from feedloom.sources.items import compact, upsert
 from feedloom.streaming.activity import counted_batch
 
 # Run limits in seconds and the poll cadence.
@@ -21,17 +23,27 @@ CONSUMER_LIMIT = 55 * 60
 PRODUCER_LIMIT = 60 * 60
 POLL = "1 second"
 
+RESUME, TAIL, REPLAY = "resume", "tail", "replay"
+ORDER = ["created_time", "author_activity_count"]
+COMPACT_EVERY = 20
+
 
 def run(
     stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None] | None = None,
     path: str | None = None, fmt: str = "parquet", once: bool = False, every: str = POLL,
-    limit: float | None = CONSUMER_LIMIT, **options: str,
+    limit: float | None = None, start: str = RESUME, **options: str,
 ) -> StreamingQuery:
-    """Start a stream into ``foreachBatch`` or an append sink and wait for it up to the limit.
+    """Start a stream into ``foreachBatch`` or an append sink and wait for it, up to a limit if there is one.
 
-    ``once`` takes everything available, in bounded batches, then stops. A restart goes on
-    from the checkpoint.
+    ``once`` takes everything available, in bounded batches, then stops. ``start`` says where a stream begins:
+    ``resume`` goes on from the checkpoint, or reads all if that is new; ``tail`` does so too but leaves out what
+    a new checkpoint finds there already; ``replay`` reads all and refuses a checkpoint that is in use.
     """
+    used = exists(stream.sparkSession, f"{checkpoint}/offsets")
+    if start == REPLAY and used:
+        raise ValueError(f"{checkpoint} holds a position; replay into a new one")
+    if start == TAIL and not used:
+        skip_to_end(stream, checkpoint, path, fmt)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).options(**options)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
     if batch is not None:
@@ -45,12 +57,33 @@ def run(
     return query
 
 
+def skip_to_end(stream: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "parquet") -> None:
+    """Commit the present end of the sources as the position of a new checkpoint, without reading a row.
+
+    The position is recorded beside the checkpoint, one line per source. Only for stateless streams: state that
+    should have seen the skipped rows cannot be made up.
+    """
+    writer = stream.where(F.lit(False)).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if path is None:
+        query = writer.foreachBatch(lambda rows, batch_id: None).start()
+    else:
+        # A file sink numbers its own batches and must see these as well.
+        query = writer.format(fmt).outputMode("append").start(path)
+    query.awaitTermination()
+    progress = query.lastProgress
+    ends = [json.dumps({"source": s["description"], "end": s["endOffset"]}) for s in progress["sources"]] if progress else []
+    spark = stream.sparkSession
+    spark.createDataFrame([(e,) for e in ends], "value string").coalesce(1).write.mode("overwrite").text(f"{checkpoint}-start")
+
+
 def post_batch(
-    lexicon: DataFrame, items: str, as_of: Column | None = None
+    lexicon: DataFrame, items: str, as_of: Column | None = None, latest: tuple[str, ...] = (), buckets: int = BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler over JSON messages: enrich, count, upsert, log anomalies, set bad ones aside.
 
-    Every output folder is named by batch, so a retried batch replaces its own output.
+    Bad ones are malformed, lack a time or title, or hold a number that no decimal can. Every output folder is
+    named by batch, so a retried batch replaces its own output; totals and the ``latest`` post per given columns are
+    bucketed tables, which a retry leaves as they are. Post changes are folded every ``COMPACT_EVERY`` batches.
     """
 
     posts, authors = f"{items}/posts", f"{items}/authors"
@@ -58,13 +91,19 @@ def post_batch(
     def handle(messages: DataFrame, batch_id: int) -> None:
         parsed = decode(spread(messages), POST_EVENT)
         usable = F.coalesce(is_usable(F.col("malformed")), F.lit(False))
-        enriched = enrich(parsed.withColumn("usable", usable), lexicon, as_of).persist()
+        enriched = enrich(parsed.withColumn("usable", usable), lexicon, as_of)
+        enriched = enriched.withColumn("usable", F.col("usable") & fits_decimals(enriched)).persist()
         try:
             rejected = enriched.where(~F.col("usable")).select("raw")
             rejected.write.mode("overwrite").parquet(f"{items}/rejected/batch_id={batch_id}")
             good = enriched.where("usable").drop("raw", "malformed", "usable")
-            done = counted_batch(good, authors, batch_id)
-            upsert(decimals(done), posts, batch_id, ["id"], ["created_time", "author_activity_count"])
+            done = decimals(counted_batch(good, authors, batch_id, buckets=buckets)).persist()
+            upsert(done, posts, batch_id, ["id"], ORDER)
+            if latest:
+                merge_items(done, f"{items}/latest", batch_id, list(latest), ORDER, buckets)
+            done.unpersist()
+            if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                compact(messages.sparkSession, posts, batch_id - 1, ["id"])
             anomalies(good).write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
         finally:
             enriched.unpersist()

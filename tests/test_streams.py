@@ -103,18 +103,6 @@ def test_retried_batch_writes_the_same(spark, tmp_path, lexicon):
     assert {i: r["author_activity_count"] for i, r in first.items()} == brute_counts(rows)
 
 
-def test_counts_survive_compaction(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(activity, "_COMPACT_EVERY", 2)
-    rows = events(200)
-    got = {}
-    for n in range(5):
-        part = spark.createDataFrame(rows[n * 40:(n + 1) * 40], schemas.POST_EVENT)
-        done = activity.counted_batch(part, str(tmp_path), n)
-        got |= {r["id"]: r["author_activity_count"] for r in done.collect()}
-    assert got == brute_counts(rows)
-    assert (tmp_path / "base").is_dir()
-
-
 def test_state_store_count_equals_brute_force(spark, tmp_path):
     rows = events(160)
     landing = tmp_path / "in"
