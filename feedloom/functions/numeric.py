@@ -87,7 +87,8 @@ def efficiency(travel_min: Column | str, distance_km: Column | str) -> Column:
 def imputed_score(score: Column | str, key: Column | str) -> Column:
     """Fill a missing score with a value in 80..100 that depends only on the row key."""
     low, high = SCORE_RANGE
-    unit = F.pmod(F.xxhash64(_col(key)), F.lit(1000000)) / 1000000
+    digest = F.md5(_col(key).cast("string").cast("binary"))
+    unit = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(1000000)) / 1000000
     return F.coalesce(_col(score), F.round(low + (high - low) * unit, 1))
 
 

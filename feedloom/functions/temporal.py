@@ -99,11 +99,10 @@ def closing_time(opening: Column | str, hours: Column) -> Column:
 
 
 def iso_duration_minutes(text: Column | str) -> Column:
-    """Minutes of a ``PT#H#M`` duration; either part may be absent, both absent is NULL."""
+    """Minutes of a ``PT#H#M`` duration; either part may be absent. NULL without both, or if a part is too large."""
     pattern = r"^PT(?:([0-9]+)H)?(?:([0-9]+)M)?$"
-    hours = F.nullif(F.regexp_extract(_col(text), pattern, 1), F.lit("")).try_cast("bigint")
-    minutes = F.nullif(F.regexp_extract(_col(text), pattern, 2), F.lit("")).try_cast("bigint")
+    parts = [F.nullif(F.regexp_extract(_col(text), pattern, k), F.lit("")) for k in (1, 2)]
+    hours, minutes = [F.when(p.isNull(), F.lit(0)).otherwise(p.try_cast("bigint")) for p in parts]
     return F.when(
-        hours.isNotNull() | minutes.isNotNull(),
-        F.try_add(F.try_multiply(F.coalesce(hours, F.lit(0)), F.lit(60)), F.coalesce(minutes, F.lit(0))),
+        parts[0].isNotNull() | parts[1].isNotNull(), F.try_add(F.try_multiply(hours, F.lit(60)), minutes)
     )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedloom.functions import html, numeric, temporal
+from feedloom.operators import elements
 from feedloom.operators.quality import contains_ci
 from feedloom.operators.running import numbered
+from feedloom.session import pinned
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,34 @@ def listing_rows(pages: DataFrame, page_key: str = "page_id", selectors: Selecto
     ).where("name IS NOT NULL")
 
 
+def listing_elements(
+    pages: DataFrame, container: tuple[str, str | None], fields: dict[str, tuple[str, str | None, str | None]],
+    page_key: str = "page_id",
+) -> DataFrame:
+    """One row per container element with its position on the page; a field is the first element of a tag and class
+    inside it: its text, or the named attribute. Containers without any of the fields stay, with NULLs.
+    """
+    found = pinned(elements.tags(pages, page_key), "tags")
+    every = elements.elements(found, page_key)
+
+    def chosen(tag: str, css_class: str | None) -> DataFrame:
+        return every.where((F.col("name") == tag) & elements.has_class(css_class))
+
+    outer = chosen(*container).select(page_key, "start", "stop")
+    rows = outer.withColumn("position", F.row_number().over(Window.partitionBy(page_key).orderBy("start")) - 1)
+    for name, (tag, css_class, attribute) in fields.items():
+        inner = elements.within(chosen(tag, css_class), outer, page_key).drop("name")
+        first = inner.groupBy(page_key, "outer").agg(F.min_by(F.struct("start", "stop", "attributes"), "start").alias("e"))
+        first = first.select(page_key, "outer", "e.*")
+        if attribute is None:
+            value = elements.texts(first.drop("attributes"), found, page_key).withColumnRenamed("text", name)
+        else:
+            value = first.withColumn(name, elements.attribute(F.col("attributes"), attribute))
+        value = value.select(page_key, F.col("outer").alias("start"), name)
+        rows = rows.join(value, [page_key, "start"], "left")
+    return rows.drop("start", "stop")
+
+
 def venue_catalogue(
     pages: DataFrame, opening: Column, open_hours: Column, place: str | None = None,
     page_key: str = "page_id", pages_per_slice: int = 1024, selectors: Selectors = Selectors(),

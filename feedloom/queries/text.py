@@ -8,12 +8,14 @@ from feedloom.functions import html, text
 from feedloom.functions.stemmer import stem_word
 from feedloom.functions.wordlists import BODY_STOP_WORDS, TITLE_STOP_WORDS
 from feedloom.operators import aggregates as agg
-from feedloom.operators import lookups, shape
+from feedloom.operators import elements, lookups, shape
 from feedloom.operators.quality import contains_ci, valid_records
-from feedloom.plans.catalogue import Selectors, venue_catalogue
+from feedloom.operators.running import numbered
+from feedloom.plans.catalogue import Selectors, listing_elements, venue_catalogue
 from feedloom.plans.posts import text_features as text_features_plan
 from feedloom.queries.registry import query, spread_table, table
 from feedloom.schemas import RECORD_METRICS, STOP_WORDS
+from feedloom.session import pinned
 from feedloom.sources.readers import local_rows, page_urls
 
 # SQL form of the Unicode white-space and word classes.
@@ -202,7 +204,8 @@ def contains_case_insensitive(spark, folder):
 
 _NUMBER = r"([0-9]+(?:\.[0-9]+)?)"
 _METRICS_SQL = ", ".join(
-    f"CASE WHEN doc_id % {i + 5} = 0 THEN lang ELSE number END AS {m}" for i, m in enumerate(RECORD_METRICS)
+    f"CASE WHEN (doc_id + nth) % {i + 5} = 0 THEN lang ELSE numbers[(nth + {i}) % len(numbers) + 1] END AS {m}"
+    for i, m in enumerate(RECORD_METRICS)
 )
 _CASTS_SQL = ", ".join(f"CAST(TRY_CAST({m} AS DECIMAL(38, 9)) AS VARCHAR) AS {m}" for m in RECORD_METRICS)
 _VALID_SQL = " AND ".join(
@@ -211,22 +214,26 @@ _VALID_SQL = " AND ".join(
 
 
 @query(f"""
-WITH numbers AS (SELECT doc_id, lang, regexp_extract(text, '{_NUMBER}', 1) AS number FROM documents),
-metrics AS (SELECT doc_id AS id, {_METRICS_SQL} FROM numbers)
-SELECT id, {_CASTS_SQL} FROM metrics WHERE {_VALID_SQL}
+WITH found AS (SELECT doc_id, lang, regexp_extract_all(text, '{_NUMBER}') AS numbers FROM documents),
+numbered AS (SELECT *, unnest(generate_series(0, len(numbers) - 1)) AS nth FROM found),
+metrics AS (SELECT doc_id AS id, nth, {_METRICS_SQL} FROM numbered)
+SELECT id, nth, {_CASTS_SQL} FROM metrics WHERE {_VALID_SQL}
 """)
 def safe_cast_metrics(spark, folder):
-    """Metrics taken from texts: some hold no number, some hold words."""
-    numbers = table(spark, folder, "documents").withColumn("number", F.regexp_extract("text", _NUMBER, 1))
-    stored = numbers.select(
-        F.col("doc_id").alias("id"),
+    """Metrics taken from the numbers of texts, a row for each number and those after it; some hold words."""
+    docs = spread_table(spark, folder, "documents", "doc_id", "lang", "text")
+    found = docs.withColumn("numbers", F.regexp_extract_all("text", F.lit(_NUMBER), 0)).where("size(numbers) > 0")
+    numbered_ = found.withColumn("nth", F.explode(F.sequence(F.lit(0), F.size("numbers") - 1)))
+    stored = numbered_.select(
+        F.col("doc_id").alias("id"), F.col("nth").cast("bigint").alias("nth"),
         *[
-            F.when(F.col("doc_id") % (i + 5) == 0, F.col("lang")).otherwise(F.col("number")).alias(m)
+            F.when((F.col("doc_id") + F.col("nth")) % (i + 5) == 0, F.col("lang"))
+            .otherwise(F.get("numbers", (F.col("nth") + i) % F.size("numbers"))).alias(m)
             for i, m in enumerate(RECORD_METRICS)
         ],
     )
-    valid = valid_records(stored, ("id", *RECORD_METRICS))
-    return valid.select("id", *[F.col(m).cast("string").alias(m) for m in RECORD_METRICS])
+    valid = valid_records(stored, ("id", "nth", *RECORD_METRICS))
+    return valid.select("id", "nth", *[F.col(m).cast("string").alias(m) for m in RECORD_METRICS])
 
 
 _TEXT_SQL = "regexp_replace(%s, '\\s*<[^>]+>\\s*', '', 'g')"
@@ -260,17 +267,74 @@ def html_links(spark, folder):
     )
 
 
+_PLAIN_SQL = "replace(replace(replace(replace(%s, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+
+
+def _between_sql(start: str, end: str) -> str:
+    """What stands between two marks, references decoded; NULL if empty."""
+    after = f"substr(html, strpos(html, '{start}') + {len(start)})"
+    inner = f"CASE WHEN strpos(html, '{start}') > 0 THEN split_part({after}, '{end}', 1) END"
+    return f"nullif(trim({_PLAIN_SQL % inner}), '')"
+
+
+@query(f"""
+SELECT page_id, {_between_sql('<title>', '</title>')} AS title, {_between_sql('<h1>', '</h1>')} AS heading,
+  {_between_sql('<div class="ad">', '</div>')} AS ad, {_between_sql('<footer>', '</footer>')} AS footer,
+  len(string_split(html, '<p>')) - 1 AS paragraphs, len(string_split(html, '<br>')) - 1 AS breaks,
+  len(string_split(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<li>')) - 1 AS entries
+FROM pages
+""")
+def page_elements(spark, folder):
+    """Elements of the given pages, each up to its own closing tag; scripts and comments hold none."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    found = pinned(elements.tags(pages), "tags")
+    every = pinned(elements.elements(found), "elements")
+    result = pages.select("page_id")
+    for name, tag, css_class in (("title", "title", None), ("heading", "h1", None), ("ad", "div", "ad"), ("footer", "footer", None)):
+        wanted = every.where((F.col("name") == tag) & elements.has_class(css_class)).select("page_id", "start", "stop")
+        value = elements.texts(wanted, found).select("page_id", F.col("text").alias(name))
+        result = result.join(value, "page_id", "left")
+    items = elements.within(every.where("name = 'li'"), every.where("name = 'nav'"))
+    inside = items.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries"))
+    counted = every.groupBy("page_id").agg(F.count_if(F.col("name") == "p").alias("paragraphs"), F.count_if(F.col("name") == "br").alias("breaks"))
+    result = result.join(counted, "page_id", "left").join(inside, "page_id", "left")
+    return result.fillna(0, ["paragraphs", "breaks", "entries"])
+
+
+@query(f"""
+WITH entries AS (
+  SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS entry,
+    generate_subscripts(regexp_extract_all(html, '<li>(.*?)</li>', 1), 1) AS n FROM pages
+)
+SELECT row_number() OVER (ORDER BY page_id, n) AS entry_id, page_id, n - 1 AS position,
+  {_PLAIN_SQL % "regexp_extract(entry, '>(.*)</a>', 1)"} AS name, {_PLAIN_SQL % "regexp_extract(entry, 'href=.([^>]*).>', 1)"} AS link
+FROM entries
+""")
+def page_catalogue(spark, folder):
+    """The entries of the given pages' lists as a numbered catalogue of names and links."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    rows = pinned(listing_elements(pages, ("li", None), {"name": ("a", None, None), "link": ("a", None, "href")}), "entries")
+    counted = numbered(rows, ["page_id", "position"], [F.floor(F.col("page_id") / 1024)], "entry_id")
+    return counted.select("entry_id", "page_id", F.col("position").cast("bigint").alias("position"), "name", "link")
+
+
 @query("""
-SELECT page_id, n AS page, 'https://' || regexp_extract(url, '://([^/]+)/', 1) || '/search/page/' || n || '/3' AS page_url
-FROM pages, unnest(range(1, 41)) AS r(n)
+SELECT page_id, count(*) AS pages, sha256(string_agg(page_url, chr(10) ORDER BY n)) AS urls_sha256 FROM (
+  SELECT page_id, n, 'https://' || regexp_extract(url, '://([^/]+)/', 1) || '/search/page/' || n || '/3' AS page_url
+  FROM pages, unnest(range(1, 10000)) AS r(n)
+) GROUP BY page_id
 """)
 def page_url_list(spark, folder):
-    """Listing addresses 1..40 for the host of every page."""
+    """Listing addresses 1..9999 for the host of every page, as a digest per page."""
     host = F.regexp_extract("url", "://([^/]+)/", 1)
     templates = table(spark, folder, "pages").select(
         "page_id", F.concat(F.lit("https://"), host, F.lit("/search/page/1/3")).alias("url")
     )
-    return page_urls(templates, "url", F.lit(40)).select("page_id", F.col("page").cast("bigint").alias("page"), "page_url")
+    urls = page_urls(templates, "url", F.lit(9999)).groupBy("page_id").agg(
+        F.array_sort(F.collect_list(F.struct("page", "page_url"))).alias("urls")
+    )
+    lines = F.array_join(F.transform("urls", lambda u: u["page_url"]), "\n")
+    return urls.select("page_id", F.size("urls").cast("bigint").alias("pages"), F.sha2(lines, 256).alias("urls_sha256"))
 
 
 @query("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,29 +13,74 @@ from feedloom.functions.text import page_url
 from feedloom.operators.shape import union_all
 
 
-def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV files of one layout (a path or glob), by exact column name, all read as text.
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a path or glob, on any file system Spark can reach."""
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(wanted) or []:
+        for child in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            if child.isFile() and not child.getPath().getName().startswith(("_", ".")):
+                found.append(child.getPath().toString())
+    return sorted(found)
 
-    Columns outside the schema are dropped and absent ones are NULL. Names are matched
-    case-sensitively because feeds may hold columns that differ in case only. Quoted values may hold
-    line breaks, so each file is read by one task.
+
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names of one CSV file; only its first line is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+        line = spark._jvm.java.io.BufferedReader(reader).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")]), ()))
+
+
+def layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The catalogue of a feed: files by their header. Files without any line are left out."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in files_of(spark, path):
+        if header := header_of(spark, file):
+            found.setdefault(header, []).append(file)
+    return found
+
+
+def _exact(file: str) -> str:
+    """The name of one file as a path pattern that matches it alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", file)
+
+
+def read_feed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Header CSV files (a path or glob), each by its own header and exact column names, all read as text.
+
+    Files of one layout are scanned together, so a feed is read once however many layouts it has. Columns
+    outside the schema are dropped and absent ones are NULL; of a repeated name the last column counts. Names
+    are matched case-sensitively because feeds may hold columns that differ in case only. Where quoted values
+    hold line breaks, each file is read by one task; without ``multi_line`` large files are split.
     """
-    header = next(csv.reader([spark.read.text(path).first()["value"].lstrip("\ufeff")]))
-    positions = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    rows = spark.read.schema(positions).options(header=True, escape='"', multiLine=True).csv(path)
-    at = {name: f"c{i}" for i, name in enumerate(header)}
-    return rows.select(
-        *[
-            (F.col(at[f.name]) if f.name in at else F.lit(None)).cast("string").alias(f.name)
-            for f in schema.fields
-        ],
-        F.col("_metadata.file_path").alias("source_file"),
-    )
-
-
-def read_feeds(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    parts = []
+    for header, files in layouts(spark, path).items():
+        positions = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        options = {"header": True, "escape": '"', "multiLine": multi_line}
+        rows = spark.read.schema(positions).options(**options).csv([_exact(f) for f in files])
+        at = {name: f"c{i}" for i, name in enumerate(header)}
+        parts.append(rows.select(
+            *[
+                (F.col(at[f.name]) if f.name in at else F.lit(None)).cast("string").alias(f.name)
+                for f in schema.fields
+            ],
+            F.col("_metadata.file_path").alias("source_file"),
+        ))
+    if not parts:
+        texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+        return spark.createDataFrame([], T.StructType([*texts, T.StructField("source_file", T.StringType())]))
+    return union_all(parts)
+
+
+def read_feeds(spark: SparkSession, paths: list[str], schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Several feeds as one frame, aligned by name."""
-    return union_all([read_feed(spark, p, schema) for p in paths])
+    return union_all([read_feed(spark, p, schema, multi_line) for p in paths])
 
 
 def read_csv(

@@ -12,6 +12,7 @@ from feedloom import schemas
 from feedloom.plans.posts import cleaned_posts, prepare_posts
 from feedloom.session import new_dir, pinned, shared_dir, spread
 from feedloom.sources import items, readers, writers
+from tests.conftest import plan_of
 
 
 def rows(df):
@@ -139,3 +140,34 @@ def test_shared_folder_and_pins(spark):
     assert all(pathlib.Path(f.removeprefix("file://")).is_file() for f in df.inputFiles())
     wide = spark.range(100, numPartitions=50)
     assert spread(wide) is wide and spread(wide.coalesce(1)).rdd.getNumPartitions() == 8
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("ID,Title,Body\np1,title one,body one\n")
+    (tmp_path / "two [x].csv").write_text('﻿ID,Body,Title,extra\np2,"body\ntwo",title two,?\n')
+    (tmp_path / "three four.csv").write_text("Body,ID\nbody three,p3\n,p4\n")
+    (tmp_path / "five.csv").write_text("ID,Title,Body\np5,title five,body five\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "_hidden.csv").write_text("ID\nno\n")
+    feed = readers.read_feed(spark, f"{tmp_path}/*.csv", schemas.POSTS_RAW)
+    got = {r["ID"]: (r["Title"], r["Body"]) for r in feed.collect()}
+    assert got == {
+        "p1": ("title one", "body one"), "p2": ("title two", "body\ntwo"), "p3": (None, "body three"), "p4": (None, None),
+        "p5": ("title five", "body five"),
+    }
+    assert feed.select("ID").where("source_file LIKE '%two%'").collect()[0]["ID"] == "p2"
+    found = readers.layouts(spark, str(tmp_path))
+    assert {h: len(f) for h, f in found.items()} == {("ID", "Title", "Body"): 2, ("ID", "Body", "Title", "extra"): 1, ("Body", "ID"): 1}
+    assert {len(p.split("FileScan csv")) - 1 for p in [plan_of(feed)]} == {3}
+    none = readers.read_feed(spark, f"{tmp_path}/none*.csv", schemas.POSTS_RAW)
+    assert none.columns == feed.columns and none.count() == 0
+
+
+def test_plain_feeds_are_split(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,Title\n" + "".join(f"p{i},title {i}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        feed = readers.read_feed(spark, f"{tmp_path}/a.csv", schemas.POSTS_RAW, multi_line=False)
+        assert feed.rdd.getNumPartitions() > 4 and feed.select("ID").distinct().count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -129,3 +129,8 @@ def test_blocks(spark):
 )
 def test_node_text(spark, raw, want):
     assert value(spark, html.node_text(F.lit(raw))) == want
+
+
+def test_durations_too_long_to_count_are_null(spark):
+    for text, want in (("PT" + "9" * 25 + "H5M", None), ("PT5H" + "9" * 25 + "M", None), ("PT2H5M", 125), ("PT7M", 7), ("PT3H", 180), ("PT", None), ("PT9223372036854775807H", None)):
+        assert value(spark, temporal.iso_duration_minutes(F.lit(text))) == want
