@@ -116,7 +116,9 @@ def slot_counts(texts: DataFrame, slots: DataFrame) -> DataFrame:
     pairs = pairs.select(F.inline(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, greatest(size(w) - 1, 0))").alias("b"))))
     pairs = pairs.filter("b is not null").select(F.xxhash64("a", "b").alias("slot"))
     pairs = pairs.filter(passes(known, F.col("slot"), 0, bits))
-    return pairs.groupBy("slot").count().join(slots, "slot", "left_semi").select("slot", F.col("count").alias("total"))
+    # Written first, so the join meets one row per slot and not one per occurrence.
+    counted = pinned(pairs.groupBy("slot").agg(F.count(F.lit(1)).alias("total")), "slotcounts")
+    return counted.join(slots, "slot", "left_semi")
 
 
 def discovered(found: DataFrame, texts: DataFrame) -> DataFrame:
