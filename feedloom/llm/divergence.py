@@ -54,17 +54,17 @@ RESULT = "lang string, source string, part string, item string, value long, rank
 
 
 def normalised(docs: DataFrame) -> DataFrame:
-    """lang, source and the terms of each document, with one space between them."""
+    """lang, source and the terms of each document with one space between them, all and each once."""
     short_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            terms = pa.array([b" ".join(t.translate(FOLD).split()) for t in texts], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], terms], names=["lang", "source", "terms"])
+            terms = [t.translate(FOLD).split() for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            columns = [pa.array(map(b" ".join, x), pa.binary()).cast(pa.string()) for x in (terms, map(set, terms))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["lang", "source", "terms", "distinct"])
 
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return rows.mapInArrow(run, "lang string, source string, terms string")
+    return rows.mapInArrow(run, "lang string, source string, terms string, distinct string")
 
 
 def expected_terms(texts: DataFrame, min_docs: int) -> dict[int, float]:
@@ -74,13 +74,13 @@ def expected_terms(texts: DataFrame, min_docs: int) -> dict[int, float]:
     terms met there, over this chance, are as many as the kept ones or more.
     """
     chance = 1 - (1 - 1 / SIZE_ONE_IN) ** min_docs
-    met = texts.filter(F.rand(11) * SIZE_ONE_IN < 1).select("lang_no", F.explode(F.split("terms", " ")).alias("term"))
+    met = texts.filter(F.rand(11) * SIZE_ONE_IN < 1).select("lang_no", F.explode(F.split("distinct", " ")).alias("term"))
     return {r["lang_no"]: r["n"] / chance for r in met.groupBy("lang_no").agg(F.approx_count_distinct("term").alias("n")).collect()}
 
 
-def terms_of(slices: int, part: int) -> Column:
+def terms_of(column: str, slices: int, part: int) -> Column:
     """Terms of a document, or of one slice of them. A document without terms has the filler alone."""
-    terms = F.split("terms", " ")
+    terms = F.split(column, " ")
     return terms if slices == 1 else F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == part)
 
 
@@ -279,7 +279,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
     path = new_dir(spark, "terms")
     number = F.array_position(F.lit(sorted(langs)), F.col("lang")).cast("int")
     normalised(docs).withColumn("lang_no", number).write.partitionBy("lang_no").parquet(path)
-    texts = spark.read.schema("lang string, source string, terms string, lang_no int").parquet(path)
+    texts = spark.read.schema("lang string, source string, terms string, distinct string, lang_no int").parquet(path)
     sizes = expected_terms(texts, min_docs)
 
     sums, names, n_terms = [], [], {}
@@ -287,8 +287,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
         slices, n_terms[lang_no] = max(1, math.ceil(sizes.get(lang_no, 0) / slice_terms)), 0
         rows = texts.filter(F.col("lang_no") == lang_no)
         for part in range(slices):
-            cut = rows.select("source", terms_of(slices, part).alias("terms"))
-            model, words, numbers = fitted(cut, min_docs)
+            # Document frequencies alone choose the vocabulary, so each term of a document is enough to fit.
+            model, words, numbers = fitted(rows.select(terms_of("distinct", slices, part).alias("terms")), min_docs)
+            cut = rows.select("source", terms_of("terms", slices, part).alias("terms"))
             n_terms[lang_no] += len(words) - 1
             place = {"lang_no": F.lit(lang_no), "slice": F.lit(part)}
             sums.append(source_sums(cut, model, numbers).withColumns(place))
