@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from feedloom.session import pinned
+
 
 def count_by(df: DataFrame, *keys: str, out: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
@@ -31,6 +33,31 @@ def top_n(df: DataFrame, n: int, measure: str, *ties: str) -> DataFrame:
     return descending(df, measure, *ties).limit(n)
 
 
+def sums_by_digest(df: DataFrame, key: str, value: str | Column, out: str) -> DataFrame:
+    """Sum per key by the key's 128-bit digest (``_digest``), which is all that is shuffled of a long key."""
+    return df.select(digest_of(key), F.col(value).alias("_value") if isinstance(value, str) else value.alias("_value")).groupBy(
+        "_digest").agg(F.sum("_value").alias(out))
+
+
+def digest_of(key: str) -> Column:
+    """16 bytes of a key; NULL has none of them."""
+    return F.coalesce(F.unhex(F.md5(F.col(key).cast("binary"))), F.expr("X''")).alias("_digest")
+
+
+def top_sums(df: DataFrame, key: str, value: str | Column, n: int, out: str) -> DataFrame:
+    """The n largest sums per long key; ties go to the smaller key, NULL sums come last.
+
+    Sums are found by digest. Only winners, with all that tie with the last of them, then get their keys from ``df``.
+    """
+    sums = pinned(sums_by_digest(df, key, value, out), "digest-sums")
+    first = sums.select(out).orderBy(F.col(out).desc_nulls_last()).limit(n)
+    known, least = first.agg(F.count(out), F.min(out)).first()
+    won = pinned(sums if known < n else sums.where(F.col(out) >= F.lit(least)), "digest-winners")
+    keyed = df.select(digest_of(key), key).join(won, "_digest")
+    found = keyed.groupBy("_digest").agg(F.first(key).alias(key), F.first(out).alias(out)).drop("_digest")
+    return found.orderBy(F.col(out).desc_nulls_last(), key).limit(n)
+
+
 def top_n_per_group(df: DataFrame, group: str | list[str], n: int, measure: str, *ties: str) -> DataFrame:
     """The n largest rows of each group. Each task keeps n rows per group before the shuffle."""
     keys = [group] if isinstance(group, str) else group

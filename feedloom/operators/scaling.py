@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedloom.operators.aggregates import count_by
-from feedloom.operators.lookups import fits, lookup
+from feedloom.operators.lookups import lookup
+from feedloom.operators.running import SLICE_ROWS, numbered, sliced
 from feedloom.session import pinned
 
-LABEL_ROWS = 100_000
-
 
 def not_nan(column: str) -> Column:
     """The column without NaN, which would stand for the maximum."""
@@ -33,25 +32,20 @@ def scale(df: DataFrame, column: str, out: str) -> DataFrame:
     ).drop("_bounds")
 
 
-def category_index(df: DataFrame, column: str) -> DataFrame:
+def category_index(df: DataFrame, column: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Labels numbered from 0 by falling frequency, ties alphabetical: (label, count, index).
 
-    A label set of checked size is numbered in one window; a larger one is sorted by
-    range and numbered by partition offsets.
+    The labels are cut into ranges of this order; each range numbers its own and adds the rows of earlier ones.
     """
-    labels = pinned(count_by(df.where(F.col(column).isNotNull()), column), "labels")
-    order = [F.col("count").desc(), F.col(column).asc()]
-    if fits(labels, LABEL_ROWS):
-        position = F.row_number().over(Window.orderBy(*order)) - 1
-        return labels.withColumn("index", position.cast("bigint"))
-    schema = T.StructType([*labels.schema.fields, T.StructField("index", T.LongType())])
-    numbered = labels.orderBy(*order).rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1]))
-    return df.sparkSession.createDataFrame(numbered, schema)
+    counted = count_by(df.where(F.col(column).isNotNull()), column).withColumn("_down", -F.col("count"))
+    ranges = sliced(pinned(counted, "labels"), "_down", [column], slice_rows)
+    placed = numbered(ranges, ["_down", column], [F.col("_slice")], "_place")
+    return placed.select(column, "count", (F.col("_place") - 1).cast("bigint").alias("index"))
 
 
-def with_index(df: DataFrame, column: str, out: str) -> DataFrame:
+def with_index(df: DataFrame, column: str, out: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add the category index as a double; NULL takes the number after the last label."""
-    labels = pinned(category_index(df, column), "label-index")
+    labels = pinned(category_index(df, column, slice_rows), "label-index")
     known = labels.select(column, F.col("index").cast("double").alias(out))
     unknown = labels.agg(F.count(F.lit(1)).cast("double")).scalar()
     return lookup(df, known, column).withColumn("_unknown", unknown).withColumn(
@@ -59,17 +53,13 @@ def with_index(df: DataFrame, column: str, out: str) -> DataFrame:
     ).select(*df.columns, out)
 
 
-def fit_features(df: DataFrame, category: str, price: str) -> DataFrame:
-    """Category index, one-element price vector and scaled price by fitted feature stages.
+def fit_features(df: DataFrame, category: str, price: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Category index, one-element price vector and scaled price.
 
-    Fitting an indexer collects all labels, so a label set over its bound is joined instead.
+    The index is joined, not fitted: a fitted indexer would hold all labels on the driver.
     """
     stages = [
         VectorAssembler(inputCols=[price], outputCol="price_features", handleInvalid="keep"),
         MinMaxScaler(inputCol="price_features", outputCol="scaled_price"),
     ]
-    if fits(count_by(df, category), LABEL_ROWS):
-        indexer = StringIndexer(inputCol=category, outputCol="carrier_index", handleInvalid="keep")
-        return Pipeline(stages=[indexer, *stages]).fit(df).transform(df)
-    indexed = with_index(df, category, "carrier_index")
-    return Pipeline(stages=stages).fit(indexed).transform(indexed)
+    return Pipeline(stages=stages).fit(df).transform(with_index(df, category, "carrier_index", slice_rows))

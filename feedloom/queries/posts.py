@@ -37,7 +37,7 @@ FROM documents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
 def top10_titles(spark, folder):
     titles = table(spark, folder, "documents").select(F.col("text").alias("title"), "n_chars")
-    return agg.top_n(agg.sum_by(titles, "title", "n_chars", "num_of_upvotes"), 10, "num_of_upvotes", "title")
+    return agg.top_sums(titles, "title", "n_chars", 10, "num_of_upvotes")
 
 
 def _per_part(spark, folder, part):

@@ -20,7 +20,7 @@ from feedloom.queries.views import (
     ENRICHED, ENRICHED_COLUMNS, POSTS, as_of, as_posts, as_records, title_lexicon,
 )
 from feedloom.session import new_dir
-from feedloom.sources import items, readers
+from feedloom.sources import items, readers, summaries
 from feedloom.streaming import jobs
 from feedloom.streaming.activity import author_counts, counted_batch
 from feedloom.streaming.windows import window_anomalies
@@ -263,3 +263,39 @@ def stream_weather(spark, folder):
 def stream_routes(spark, folder):
     docs = _landed(spark, route_documents(spark, folder), schemas.ROUTE)
     return route_columns(_finished(observations.route_features(docs), "routes"))
+
+
+ROUTE_MEASURES = ["distance_km", "travel_time_min", "traffic_delay_min", "efficiency_ratio"]
+
+
+@query(f"""
+WITH rows AS (SELECT day_of_week, is_high_traffic, unnest([
+    {{'measure': 'distance_km', 'value': distance_km}}, {{'measure': 'travel_time_min', 'value': travel_time_min}},
+    {{'measure': 'traffic_delay_min', 'value': traffic_delay_min}}, {{'measure': 'efficiency_ratio', 'value': efficiency_ratio}}
+  ], recursive := true) FROM ({ROUTE_SQL})),
+ranked AS (
+  SELECT *, row_number() OVER g - 1 AS nth, floor(0.9 * (count(*) OVER (PARTITION BY day_of_week, is_high_traffic, measure) - 1)) AS wanted
+  FROM rows WHERE value IS NOT NULL WINDOW g AS (PARTITION BY day_of_week, is_high_traffic, measure ORDER BY value))
+SELECT day_of_week, is_high_traffic, measure, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+  min(value) AS low, max(value) AS high,
+  round(max(CASE WHEN nth = wanted THEN CASE WHEN value = 0 THEN 0 ELSE pow(1.02, ceil(ln(value) / ln(1.02))) * 2 / 2.02 END END), 6) AS p90
+FROM ranked GROUP BY 1, 2, 3
+""")
+def stream_route_summaries(spark, folder):
+    """Statistics of routes per weekday and traffic, merged from five runs of a stream over documents as they land."""
+    root = new_dir(spark, "route-summaries")
+    keys = ["day_of_week", "is_high_traffic"]
+    landing = f"{root}/landing"
+    spark.createDataFrame([], "value string").write.text(landing)
+    documents = route_documents(spark, folder)
+    features = observations.route_features(readers.observations(spark, landing, schemas.ROUTE))
+    rows = features.select(F.col("day_of_week").cast("bigint").alias("day_of_week"), "is_high_traffic", *ROUTE_MEASURES)
+
+    def batch(part, batch_id):
+        summaries.merge_summaries(part, f"{root}/table", batch_id, keys, ROUTE_MEASURES, buckets=4)
+
+    for k in range(5):
+        documents.where(F.pmod(F.xxhash64("value"), F.lit(5)) == k).write.mode("append").text(landing)
+        jobs.run(rows, f"{root}/checkpoint", batch=batch, once=True)
+    found = summaries.read_summaries(spark, f"{root}/table", summaries.summary_schema(rows, keys), keys, {"p90": 0.9})
+    return found.select(*keys, "measure", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std")], "low", "high", F.round("p90", 6).alias("p90"))

@@ -130,6 +130,28 @@ def publish_latest(spark, folder):
     return readers.read_csv(spark, path, stored.select("id", "score").schema)
 
 
+@query("""
+SELECT 'before' AS read, lang, count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE lang <> 'fr' GROUP BY lang
+UNION ALL SELECT 'after', lang, count(*), CAST(sum(n_chars) AS BIGINT) FROM documents GROUP BY lang
+""")
+def published_versions(spark, folder):
+    """What a reader gets who resolved a version before the next ones were published, and one who resolves it after."""
+    path = new_dir(spark, "versions")
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    resolved = []
+    for rows in (docs.where("lang <> 'fr'"), docs.where("lang = 'de'"), docs):
+        status = writers.publish_version(rows, path)
+        if status["statusCode"] != 200:
+            raise RuntimeError(str(status["body"]))
+        resolved.append(writers.latest_version(spark, path))
+    read = [
+        readers.read_csv(spark, place, docs.schema).select(F.lit(name).alias("read"), "lang", "n_chars")
+        for name, place in (("before", resolved[0]), ("after", resolved[-1]))
+    ]
+    return shape.union_all(read).groupBy("read", "lang").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n_chars").cast("bigint").alias("chars"))
+
+
 @query("SELECT o_orderpriority AS carrier, count(*) AS count, round(sum(l_extendedprice), 2) AS price FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
 def feature_files(spark, folder):
     path = new_dir(spark, "features")

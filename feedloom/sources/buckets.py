@@ -39,7 +39,7 @@ def read_buckets(spark: SparkSession, table: str, schema: T.StructType, numbers:
     return rows if numbers is None else rows.where(F.col(BUCKET).isin(numbers))
 
 
-def _replace(rows: DataFrame, table: str) -> None:
+def replace_buckets(rows: DataFrame, table: str) -> None:
     """Write whole buckets, one task each; buckets that are not in ``rows`` stay untouched."""
     spread = rows.repartition(F.col(BUCKET)).write.partitionBy(BUCKET)
     spread.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(table)
@@ -56,7 +56,7 @@ def merge_items(
     numbers = touched(rows, keys, buckets)
     stored = read_buckets(batch.sparkSession, table, rows.schema, numbers)
     merged = latest_per_key(stored.drop(BUCKET).unionByName(rows), keys, [BATCH, *order])
-    _replace(merged.withColumn(BUCKET, bucket_of(keys, buckets)), table)
+    replace_buckets(merged.withColumn(BUCKET, bucket_of(keys, buckets)), table)
 
 
 def totals_schema(batch: DataFrame, keys: list[str], seen: str) -> T.StructType:
@@ -96,11 +96,11 @@ def merge_totals(
         F.when(in_batch, F.col("_prior")).otherwise(F.col("_earlier")).alias("earlier"),
         F.when(in_batch, F.lit(batch_id)).otherwise(F.col("_batch")).cast("bigint").alias(BATCH), seen,
     )
-    _replace(rows.withColumn(BUCKET, bucket_of(keys, buckets)), table)
+    replace_buckets(rows.withColumn(BUCKET, bucket_of(keys, buckets)), table)
     return read_buckets(spark, table, schema, numbers).where(again).select(*keys, "earlier")
 
 
 def rebucket(spark: SparkSession, table: str, target: str, schema: T.StructType, keys: list[str], buckets: int) -> None:
     """The table anew with another number of buckets, under another name."""
     rows = read_buckets(spark, table, schema).withColumn(BUCKET, bucket_of(keys, buckets))
-    _replace(rows, target)
+    replace_buckets(rows, target)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from feedloom.operators.shape import keyed_json, markers
 
 SNAPSHOT_ROWS = 100
+# Versions of a published result that stay.
+VERSIONS = 3
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -91,6 +93,47 @@ def publish_latest(df: DataFrame, path: str) -> dict[str, object]:
     return {"statusCode": 200, "body": {"message": f"result saved to {path}"}}
 
 
+def _markers(spark: SparkSession, path: str) -> list[str]:
+    """Names of the commit markers of a versioned result, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
+
+
+def _version_of(path: str, marker: str) -> str:
+    return f"{path}/versions/{marker.split('-')[1]}"
+
+
+def latest_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that the last marker names; None before the first one."""
+    names = _markers(spark, path)
+    return _version_of(path, names[-1]) if names else None
+
+
+def publish_version(df: DataFrame, path: str, keep: int = VERSIONS) -> dict[str, object]:
+    """Write a version of a result, then make it the latest by creating one empty marker.
+
+    Readers resolve ``latest_version``, so they see the old result or the new one and never none. A marker has a number
+    and its version in its name: nothing is renamed or overwritten, which object stores cannot do at once. The last
+    ``keep`` versions stay for readers that have resolved them.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        write_csv(df, f"{path}/versions/{version}")
+        names = _markers(spark, path)
+        marker = f"{int(names[-1].split('-')[0]) + 1 if names else 0:012d}-{version}"
+        fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(jvm_path(f"{path}/commits"))
+        fs.createNewFile(jvm_path(f"{path}/commits/{marker}"))
+        for old in [*names, marker][:-keep]:
+            fs.delete(jvm_path(f"{path}/commits/{old}"), False)
+            fs.delete(jvm_path(_version_of(path, old)), True)
+    except Exception as failure:
+        return {"statusCode": 500, "body": {"message": "publish failed", "reason": str(failure)}}
+    return {"statusCode": 200, "body": {"message": f"result saved to {path}", "version": version}}
+
+
 def preview(df: DataFrame, rows: int = 20) -> None:
     df.show(rows, truncate=False)
 

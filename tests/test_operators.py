@@ -158,21 +158,27 @@ def test_scale(spark):
 LABELS = [("KL",)] * 3 + [("LH",)] * 3 + [("UA",)] * 5 + [("AF",)] + [(None,)]
 
 
-@pytest.mark.parametrize("bound", [scaling.LABEL_ROWS, 0])
-def test_category_index_equals_fitted_indexer(spark, monkeypatch, bound):
-    monkeypatch.setattr(scaling, "LABEL_ROWS", bound)
+@pytest.mark.parametrize("rows", [scaling.SLICE_ROWS, 1])
+def test_category_index_equals_fitted_indexer(spark, rows):
     df = spark.createDataFrame(LABELS, "c string")
-    got = {r["c"]: r["index"] for r in scaling.category_index(df, "c").collect()}
+    got = {r["c"]: r["index"] for r in scaling.category_index(df, "c", rows).collect()}
     assert got == {"UA": 0, "KL": 1, "LH": 2, "AF": 3}
     fitted = StringIndexer(inputCol="c", outputCol="i", handleInvalid="keep").fit(df).transform(df)
-    assert tuples(scaling.with_index(df, "c", "i").select("c", "i")) == tuples(fitted.select("c", "i"))
+    assert tuples(scaling.with_index(df, "c", "i", rows).select("c", "i")) == tuples(fitted.select("c", "i"))
 
 
-@pytest.mark.parametrize("bound", [scaling.LABEL_ROWS, 0])
-def test_fit_features(spark, monkeypatch, bound):
-    monkeypatch.setattr(scaling, "LABEL_ROWS", bound)
+def test_category_index_of_many_labels_is_numbered_in_ranges(spark):
+    n = 3000
+    df = spark.range(n * (n + 1) // 2, numPartitions=8).select(F.concat(F.lit("l"), F.floor((F.sqrt(8 * F.col("id") + 1) - 1) / 2)).alias("c"))
+    got = [(r["index"], r["c"], r["count"]) for r in scaling.category_index(df, "c", 100).collect()]
+    counts = df.groupBy("c").count().collect()
+    assert sorted(got) == [(i, r["c"], r["count"]) for i, r in enumerate(sorted(counts, key=lambda r: (-r["count"], r["c"])))]
+
+
+@pytest.mark.parametrize("rows", [scaling.SLICE_ROWS, 1])
+def test_fit_features(spark, rows):
     df = spark.createDataFrame([("a", 10.0), ("a", 30.0), ("b", 20.0), (None, 10.0)], "c string, p double")
-    done = scaling.fit_features(df, "c", "p")
+    done = scaling.fit_features(df, "c", "p", rows)
     got = tuples(done.select("c", "carrier_index", vector_to_array("scaled_price")[0]))
     assert got == [("a", 0.0, 0.0), ("a", 0.0, 1.0), ("b", 1.0, 0.5), (None, 2.0, 0.0)]
 
