@@ -9,8 +9,11 @@ that are likely links to the exact check on the full sets, as few as join them.
 component are not compared, and of the survivors each member sends a bounded number. Rounds repeat with a
 growing number, without the pairs that failed, until no bucket has a survivor.
 
-A bucket is dealt out in chunks of at most ``CHUNK`` members, each with the bucket's smallest member. What stays
-apart from that member's component is compared across chunks in later rounds.
+A bucket is dealt out in chunks of at most ``CHUNK`` members. Chunks of one bucket share its smallest member and some
+``PIVOTS`` others, so the same component grows in all of them. Later rounds compare what stays outside of a bucket's
+component with all its members. The many bands of a large group of near copies give it as many large buckets of nearly the same
+members: those that share their smallest member are one group then, in which an outsider meets each member once
+and not once a band. Buckets without common members have different smallest ones and stay apart.
 
 A pair of similarity s is no candidate with probability (1 - s ** ROWS) ** BANDS: 6e-5 at 0.75, 3e-7 at 0.8.
 
@@ -43,6 +46,7 @@ SIGNATURE = 512
 STEPS = (16, 32, 64, 128, 256, 512)
 MISS = 1e-4
 CHUNK = 4096
+PIVOTS = 32
 # Survivors with this share of equal bytes count as linked within a round. Of the others a member sends none to
 # the exact check in the first round, so many in the second, and GROWTH times more in each later one.
 SURE = 0.8
@@ -192,13 +196,17 @@ def own_pairs(bucket, one: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def bucket_links(bucket, node, comp, size, sign, marks, probe, failed, tries) -> list[tuple[int, int]]:
-    """Pairs to check of one chunk; ``probe`` marks the members that are compared with all others."""
+    """Pairs to check of one chunk; ``probe`` marks the members that are compared with all others.
+
+    ``bucket`` is None for a group of several buckets, which owns all its pairs.
+    """
     picker, comp = Picker(failed, tries), comp.copy()
     for i in np.flatnonzero(probe).tolist():
         later = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(node)) > i)))
         fits = (np.minimum(size[later], size[i]) * 100 >= PERCENT * np.maximum(size[later], size[i]))
         later = later[fits]
-        later = later[own_pairs(bucket, marks[i], marks[later])]
+        if bucket is not None:
+            later = later[own_pairs(bucket, marks[i], marks[later])]
         alive, sure = similar(sign[i], sign[later])
         for j, s in zip(later[alive].tolist(), sure.tolist(), strict=True):
             picker.offer(int(node[i]), int(node[j]), int(comp[i]), int(comp[j]), s)
@@ -208,7 +216,7 @@ def bucket_links(bucket, node, comp, size, sign, marks, probe, failed, tries) ->
     return picker.links
 
 
-def small_links(bucket, node, comp, size, sign, marks, probe, chunk, failed, tries) -> list[tuple[int, int]]:
+def small_links(bucket, node, comp, size, sign, marks, probe, chunk, wide, failed, tries) -> list[tuple[int, int]]:
     """The same for many small buckets at once: their pairs are compared row by row."""
     first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
     length = np.diff(np.append(first, len(chunk)))
@@ -218,7 +226,7 @@ def small_links(bucket, node, comp, size, sign, marks, probe, chunk, failed, tri
     keep = (comp[left] != comp[right]) & (probe[left] | probe[right]) & (
         np.minimum(size[left], size[right]) * 100 >= PERCENT * np.maximum(size[left], size[right]))
     left, right = left[keep], right[keep]
-    own = own_pairs(bucket[left], marks[left], marks[right])
+    own = wide[left] | own_pairs(bucket[left], marks[left], marks[right])
     left, right = left[own], right[own]
     pickers: dict[int, Picker] = {}
     for i in range(0, len(left), 200_000):
@@ -272,15 +280,15 @@ def _candidates(members: DataFrame, tries: int) -> DataFrame:
             each = np.repeat(np.arange(len(first)), length)
             found: set[tuple[int, int]] = set()
             names = ("node", "comp", "size", "sign", "marks", "probe")
-            bucket = key[:, 0].astype(np.uint32)
+            bucket, wide = key[:, 0].astype(np.uint32), key[:, 1] < 0
             # Chunks of few members go together.
             few = (length <= 24)[each]
             if few.any():
-                found.update(small_links(bucket[few], *(cols[c][few] for c in names), each[few], failed, tries))
+                found.update(small_links(bucket[few], *(cols[c][few] for c in names), each[few], wide[few], failed, tries))
             for f, n in zip(first.tolist(), length.tolist(), strict=True):
                 if not few[f]:
                     part = slice(f, f + n)
-                    found.update(bucket_links(bucket[f], *(cols[c][part] for c in names), failed, tries))
+                    found.update(bucket_links(None if wide[f] else bucket[f], *(cols[c][part] for c in names), failed, tries))
             return found
 
         def columns(held: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], set]:
@@ -358,10 +366,12 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     rows = reps.select("node", F.explode("bands").alias("bucket"))
     buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).filter("n > 1")
     chunks = F.ceil(F.col("n") / chunk)
-    own = F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), (chunks - 1).cast("int"))).otherwise(
+    shared = F.pmod(F.xxhash64("node", F.lit(2)), F.greatest(F.floor(F.col("n") / PIVOTS), F.lit(1))) == 0
+    own = F.when((F.col("node") == F.col("pivot")) | shared, F.sequence(F.lit(0), (chunks - 1).cast("int"))).otherwise(
         F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))
     dealt = pinned(rows.join(buckets, "bucket").select("bucket", "n", "pivot", "node", own.alias("chunks")), "buckets")
     narrow = pinned(reps.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "size", "sign", "marks"), "narrow")
+    groups = pinned(wide_groups(dealt, chunk), "groups")
     failed = None
     touched = None
     state = narrow.select("node", F.col("node").alias("comp"))
@@ -372,12 +382,13 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
             both = failed.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
                 failed.select(F.col("b").alias("node"), F.col("a").alias("other")))
             tried = state.join(both.groupBy("node").agg(F.collect_set("other").alias("failed")), "node", "left")
-        members = dealt.join(tried, "node")
         if round_number == 0:
-            # Every member of a chunk is compared with every other; the pivot is in all chunks.
-            members = members.withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
+            # Every member of a chunk is compared with every other; the pivots are in all chunks.
+            members = dealt.join(tried, "node").withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
         else:
-            members = _open_members(members, touched if round_number > 1 else None, chunk)
+            last = touched if round_number > 1 else None
+            members = _open_members(dealt.filter(F.col("n") <= chunk).join(tried, "node"), last, chunk).unionByName(
+                _open_groups(groups.join(tried, "node"), last, chunk))
         members = members.join(narrow, "node")
         members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "marks", "probe", "failed")
         found = members.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node")
@@ -408,21 +419,30 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     return signs, last.select("node", F.col("comp").alias("component")).unionByName(spread)
 
 
-def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
-    """Members of buckets with several components, dealt so that outsiders meet all.
+def wide_groups(dealt: DataFrame, chunk: int) -> DataFrame:
+    """(pivot, node, n): the members of all buckets of more than one chunk that share their smallest member, each once.
 
-    Outsiders are members apart from the component of the pivot. They come in blocks; a chunk of members and
-    a block of outsiders form one group. Without ``touched`` no bucket counts as done.
+    The smallest member is a MinHash of the bucket, so two buckets share it as likely as they are similar, and a
+    group has no more buckets than its smallest member has bands.
+    """
+    rows = dealt.filter(F.col("n") > chunk).select("pivot", "node").distinct()
+    return rows.join(rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot")
+
+
+def _again(marked: DataFrame, key: str, touched: DataFrame | None) -> DataFrame:
+    """The buckets or groups with outsiders, and how many; after the first time only those with a member that was
+    sent to the exact check in the last round, as the others have no survivors left.
+    """
+    seen = marked if touched is None else marked.join(touched.select("node", F.lit(1).alias("touched")), "node", "left")
+    seen = seen.withColumn("touched", F.lit(1)) if touched is None else seen
+    counts = seen.groupBy(key).agg(F.count_if("probe").alias("outside"), F.count("touched").alias("again"))
+    return counts.filter("outside > 0 and again > 0").select(key, "outside")
+
+
+def _in_blocks(marked: DataFrame, chunk: int) -> DataFrame:
+    """Deal members so that every outsider (``probe``) meets all: a block of outsiders and a part of the members form
+    one ``chunk``.
     """
-    pivots = members.filter("node = pivot").select("bucket", F.col("comp").alias("main"))
-    marked = members.join(pivots, "bucket").withColumn("probe", F.col("comp") != F.col("main"))
-    seen = F.lit(1).alias("touched")
-    marked = marked.withColumn("touched", F.lit(1)) if touched is None else marked.join(touched.select("node", seen), "node", "left")
-    counts = marked.groupBy("bucket").agg(
-        F.count_if("probe").alias("outside"), F.count("touched").alias("again"), F.max("n").alias("all"))
-    # A bucket of one chunk is done, unless pairs of its members went to the check in the last round.
-    again = counts.filter((F.col("outside") > 0) & ((F.col("again") > 0) | (F.col("all") > chunk))).select("bucket", "outside")
-    marked = marked.join(again, "bucket")
     half = max(1, chunk // 2)
     blocks, parts = F.ceil(F.col("outside") / half).cast("int"), F.ceil(F.col("n") / half).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")
@@ -431,7 +451,26 @@ def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) ->
     as_probe = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: p * blocks + block)
     as_member = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: part * blocks + b)
     to = F.when(F.col("probe"), F.array_distinct(F.concat(as_probe, as_member))).otherwise(as_member)
-    return marked.withColumn("chunk", F.explode(to))
+    return marked.withColumn("chunk", F.explode(to)).select("bucket", "chunk", "node", "comp", "failed", "probe")
+
+
+def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
+    """Members of buckets with several components; outsiders are those apart from the component of the pivot."""
+    pivots = members.filter("node = pivot").select("bucket", F.col("comp").alias("main"))
+    marked = members.join(pivots, "bucket").withColumn("probe", F.col("comp") != F.col("main"))
+    return _in_blocks(marked.join(_again(marked, "bucket", touched), "bucket"), chunk)
+
+
+def _open_groups(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
+    """Members of groups of large buckets; outsiders are those apart from the group's largest component.
+
+    Their chunks have negative numbers, as they own all their pairs.
+    """
+    sizes = members.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("size"))
+    mains = sizes.groupBy("pivot").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"))
+    marked = members.join(mains, "pivot").withColumn("probe", F.col("comp") != F.col("main"))
+    marked = marked.join(_again(marked, "pivot", touched), "pivot").withColumnRenamed("pivot", "bucket")
+    return _in_blocks(marked, chunk).withColumn("chunk", -1 - F.col("chunk"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -266,6 +266,38 @@ def test_near_groups_equal_all_pairs(spark, chunk):
     assert got == exact_components(rows)
 
 
+def test_a_large_group_is_dealt_once_and_not_once_a_band(spark):
+    # 40 buckets of nearly the same members, and one of others.
+    rows = [(b, n) for b in range(40) for n in range(400) if n == 0 or (b + n) % 10] + [(99, 1000 + n) for n in range(300)] + [(100, 5), (100, 6)]
+    buckets = spark.createDataFrame(rows, "bucket long, node long")
+    sizes = buckets.groupBy("bucket").agg(F.count("node").alias("n"), F.min("node").alias("pivot"))
+    groups = near_dedup.wide_groups(buckets.join(sizes, "bucket"), 64)
+    assert {r["pivot"]: (r["rows"], r["n"]) for r in groups.groupBy("pivot").agg(F.count("node").alias("rows"), F.max("n").alias("n")).collect()} == {
+        0: (400, 400), 1000: (300, 300)}
+    state = groups.withColumn("comp", F.when(F.col("node") % 40 == 39, F.col("node")).otherwise(F.col("pivot"))).withColumn("failed", F.lit(None).cast("array<long>"))
+    dealt = near_dedup._open_groups(state, None, 64).toPandas()
+    assert (dealt.chunk < 0).all() and dealt.groupby(["bucket", "chunk"]).size().max() <= 2 * 64
+    # Every outsider meets every other member.
+    for pivot, part in dealt.groupby("bucket"):
+        met = {(a, b) for _, c in part.groupby("chunk") for a in c.node[c.probe] for b in c.node if a != b}
+        members = set(part.node)
+        assert met == {(a, b) for a in part.node[part.probe].unique() for b in members if a != b}
+        assert len(part) <= 2 * len(members)
+
+
+def test_near_groups_of_many_near_copies(spark):
+    rng = np.random.default_rng(3)
+    base, rows = [f"w{i}" for i in range(90)], []
+    for i in range(220):
+        words = list(base)
+        for at in rng.integers(0, len(words), int(rng.integers(0, 5))):
+            words[at] = f"x{rng.integers(0, 100_000)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_groups(docs, 32).collect()}
+    assert got == exact_components(rows)
+
+
 def test_pruning_loses_few_pairs_over_all_steps():
     t = 0.75 + 0.25 / 256
     lost = [sum(math.comb(n, k) * t ** k * (1 - t) ** (n - k) for k in range(m)) for n, m in near_dedup.least_matches()]
