@@ -11,7 +11,7 @@ the documents gives the first average, the others start from it. Normalisation n
 exp(score) factors over the two context words, so one matrix product gives the normaliser of every
 context pair, and a token costs three lookups.
 
-Words outside the ``HEAD`` most frequent ones are counted per document and meet their corpus counts in a
+Words outside the head, at most ``HEAD`` words and all of them more frequent than any other, are counted per document and meet their corpus counts in a
 join, so no vocabulary has to fit anywhere whole.
 
 Defined cases: a null or empty text is one end token. A null id is hashed as empty text. Repeated rows are scored
@@ -27,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import fold_of, short_batches
@@ -198,11 +198,11 @@ class Scorer:
     def __init__(self, head: list[bytes], counts: np.ndarray, classes: int, rows: np.ndarray, total: int, types: int, other: float):
         self.index = Index(head, -1)
         self.base = np.log10((counts + 1.0) / (total + types + 1))
-        # Class of each head word; words behind the classes share one and add their share of it.
-        self.klass = np.full(len(head), OTHER, np.int64)
+        # Class of each head word; words behind the classes share one and add their share of it. The last is for no head word.
+        self.klass = np.full(len(head) + 1, OTHER, np.int64)
         own = [i for i, w in enumerate(head) if w != END_WORD][:classes - 2]
         self.klass[own] = np.arange(2, 2 + len(own))
-        self.inside = np.where(self.klass == OTHER, np.log10((counts + 1.0) / other), 0.0)
+        self.inside = np.where(self.klass[:-1] == OTHER, np.log10((counts + 1.0) / other), 0.0)
         for i, w in enumerate(head):
             if w == END_WORD:
                 self.klass[i], self.inside[i] = END, 0.0
@@ -235,6 +235,24 @@ def scorer_of(shared) -> Scorer:
     return Scorer(*shared.value)
 
 
+def cut_off(counts: DataFrame, size: int) -> int:
+    """The smallest count that at most ``size`` words exceed, 0 if there are no more words than that.
+
+    Words are counted per frequency, first by octaves, then within the one octave that holds the cut.
+    """
+    often = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).withColumn("octave", F.floor(F.log2("c")).cast("int"))
+    often = pinned(often, "frequencies")
+    octaves = dict(often.groupBy("octave").agg(F.sum("n")).collect())
+    above = 0
+    for octave in sorted(octaves, reverse=True):
+        if above + octaves[octave] > size:
+            order = Window.partitionBy("octave").orderBy(F.desc("c"))
+            upto = often.filter(F.col("octave") == octave).withColumn("upto", F.sum("n").over(order) + above)
+            return upto.filter(F.col("upto") > size).agg(F.max("c")).first()[0]
+        above += octaves[octave]
+    return 0
+
+
 def score(docs: DataFrame, head_size: int = HEAD, classes: int = CLASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
@@ -242,8 +260,10 @@ def score(docs: DataFrame, head_size: int = HEAD, classes: int = CLASSES) -> Dat
     training = docs.filter(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
     counts = pinned(token_counts(training), "tokens")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
-    head, head_counts = [bytes(w) for w in top["word"]], top["c"].to_numpy(np.int64)
+    kept = (F.col("c") > cut_off(counts, head_size)) | (F.col("word") == F.lit(END_WORD))
+    top = counts.filter(kept).toPandas()
+    top = top.assign(word=top["word"].map(bytes)).sort_values(["c", "word"], ascending=[False, True])
+    head, head_counts = top["word"].tolist(), top["c"].to_numpy(np.int64)
     words = [w for w in head if w != END_WORD][:classes - 2]
     ends = int(sum(c for w, c in zip(head, head_counts, strict=True) if w == END_WORD))
     by_word = dict(zip(head, head_counts.tolist(), strict=True))

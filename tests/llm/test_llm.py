@@ -368,3 +368,32 @@ def test_pipeline_stages_keep_the_columns(spark):
     kept = pd.Series({i: t for i, t in zip(small_docs().doc_id, small_docs().text, strict=True)})
     result = corpus_pipeline.run(spark, SMALL).toPandas()
     assert set(result.doc_id) <= set(kept.index) and len(set(result.doc_id)) > 0.8 * docs.count()
+
+
+def test_head_words_by_count_without_sorting_all(spark):
+    rng = np.random.default_rng(8)
+    counts = [1] * 300 + [2] * 70 + rng.integers(3, 400, 90).tolist()
+    rows = spark.createDataFrame([(f"w{i}", int(c)) for i, c in enumerate(counts)], "word string, c long").repartition(5)
+    for size in (0, 1, 20, 90, 100, 160, 200, 460, 1000):
+        cut = lm.cut_off(rows, size)
+        assert sum(c > cut for c in counts) <= size and (cut == 0 or sum(c > cut - 1 for c in counts) > size)
+
+
+def test_scores_do_not_depend_on_the_head(odd):
+    got = [{(r["doc_id"], r["n_known"]): r["base_score"] for r in lm.score(odd, head_size=n, classes=4).collect()} for n in (5, 900, 200_000)]
+    assert got[0].keys() == got[1].keys() == got[2].keys()
+    for key, base in got[0].items():
+        assert math.isclose(base, got[1][key], rel_tol=1e-9) and math.isclose(base, got[2][key], rel_tol=1e-9)
+
+
+def test_scores_without_training_documents(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    got = lm.score(spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string")).collect()
+    assert len(got) == len(ids) and {(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(3, 0, 0, 0.0)}
+
+
+def test_language_sample_moves_ids_alone(spark, odd):
+    sample = language.training_sample(odd, 2)
+    assert all(0 < n <= 2 for _, n in sample.groupBy("lang").count().collect())
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
