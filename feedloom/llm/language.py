@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import fold_of, short_batches
+from feedloom.operators.lookups import fits
 from feedloom.session import pinned
 
 SAMPLE_ROWS = 400
@@ -86,7 +87,10 @@ def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     ahead = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("level"))) - F.col("count")
     needed = pinned(counts.withColumn("ahead", ahead).filter(F.col("ahead") < per_language).select("lang", "level"), "levels")
     chosen = ids.join(needed, ["lang", "level"], "left_semi").withColumn("nth", F.row_number().over(order))
-    chosen = chosen.filter(F.col("nth") <= per_language).select(F.col("doc_id").alias("chosen_id")).distinct()
+    chosen = pinned(chosen.filter(F.col("nth") <= per_language).select(F.col("doc_id").alias("chosen_id")).distinct(), "chosen")
+    if fits(chosen):
+        # A few hundred ids a language: the texts stay where they are.
+        chosen = F.broadcast(chosen)
     same = F.col("doc_id").eqNullSafe(F.col("chosen_id"))
     found = usable.select("doc_id", "lang", "text").join(chosen, same, "left_semi")
     # Rows that share an id are sampled together; the bound holds for them as well.
