@@ -23,6 +23,7 @@ from feedloom.session import new_dir
 from feedloom.sources import items, readers, summaries
 from feedloom.streaming import jobs
 from feedloom.streaming.activity import author_counts, counted_batch
+from feedloom.streaming.metrics import BatchLog, read_metrics
 from feedloom.streaming.windows import window_anomalies
 
 
@@ -240,6 +241,62 @@ def stream_anomalies(spark, folder):
     return log.select("id", "metric", F.round("z_score", 6).alias("z_score"))
 
 
+_BATCHES = f"""
+{ENRICHED}, p AS (
+  SELECT e.id, e.subreddit AS category, e.score, e.num_comments, e.popularity_score, e.num_comments % 10 = 3 AS cut_off,
+    (us >= lo + span // 4)::BIGINT + (us >= lo + span * 2 // 4)::BIGINT + (us >= lo + span * 3 // 4)::BIGINT AS batch_id
+  FROM enriched e JOIN (SELECT id, epoch_us(created) AS us FROM posts) t ON e.id = CAST(t.id AS VARCHAR),
+    (SELECT epoch_us(min(created)) AS lo, epoch_us(max(created)) - epoch_us(min(created)) AS span FROM posts)
+)"""
+
+
+@query(f"""
+WITH {_BATCHES}, z AS (
+  SELECT batch_id, unnest([
+    abs((score - avg(score) OVER w) / nullif(stddev_samp(score) OVER w, 0)),
+    abs((num_comments - avg(num_comments) OVER w) / nullif(stddev_samp(num_comments) OVER w, 0)),
+    abs((popularity_score - avg(popularity_score) OVER w) / nullif(stddev_samp(popularity_score) OVER w, 0))]) AS z_score
+  FROM p WHERE NOT cut_off WINDOW w AS (PARTITION BY batch_id)
+), flags AS (SELECT batch_id, count(*) AS flagged FROM z WHERE z_score > 3 GROUP BY 1)
+SELECT batch_id, count(*) AS rows, count(*) FILTER (WHERE cut_off) AS rejected, coalesce(max(flagged), 0) AS flagged
+FROM p LEFT JOIN flags USING (batch_id) GROUP BY 1
+""")
+def stream_batch_counts(spark, folder):
+    """Rows, rejects and flags of four batches of the post job, as its writes counted them; some messages are cut off."""
+    root = new_dir(spark, "batch-counts")
+    handle = jobs.post_batch(title_lexicon(spark, folder), root, as_of(), buckets=8)
+
+    def step(stream):
+        rows = as_records(stream)
+        cut_off = F.pmod("num_comments", F.lit(10)) == 3
+        messages = rows.select(F.to_json(F.struct("*")).alias("value"), cut_off.alias("cut_off"))
+        value = F.when(F.col("cut_off"), F.substring("value", 1, 20)).otherwise(F.col("value"))
+        jobs.run(messages.select(value.alias("value")), f"{root}/checkpoint", batch=handle, once=True)
+
+    _slice_by_slice(spark, folder, step)
+    return read_metrics(spark, f"{root}/metrics")
+
+
+@query(f"""
+WITH {_BATCHES} SELECT batch_id, count(*) AS read, count(*) FILTER (WHERE NOT cut_off) AS kept,
+  sum(num_comments)::BIGINT AS comments FROM p GROUP BY 1
+""")
+def stream_progress_log(spark, folder):
+    """What a listener hears of four batches of an append stream that observes its own rows."""
+    root, heard = new_dir(spark, "progress"), []
+    log = BatchLog(heard.append)
+
+    def step(stream):
+        rows = as_records(stream)
+        kept = F.pmod("num_comments", F.lit(10)) != 3
+        seen = rows.observe("posts", F.count_if(kept).alias("kept"), F.sum("num_comments").alias("comments"))
+        jobs.run(seen.where(kept).select("id"), f"{root}/checkpoint", path=f"{root}/out", once=True, log=log)
+
+    _slice_by_slice(spark, folder, step)
+    rows = [(h["batch_id"], h["read"], h["posts"]["kept"], h["posts"]["comments"]) for h in heard]
+    return spark.createDataFrame(rows, "batch_id bigint, read bigint, kept bigint, comments bigint")
+
+
 @query(KEYED_SQL)
 def stream_republish(spark, folder):
     events = narrow(as_posts(_event_stream(spark, folder)))

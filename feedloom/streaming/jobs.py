@@ -17,6 +17,7 @@ from feedloom.session import spread
 from feedloom.sources.buckets import BUCKETS, exists, merge_items
 from feedloom.sources.items import compact, upsert
 from feedloom.streaming.activity import counted_batch
+from feedloom.streaming.metrics import BatchLog, observed, record
 
 # Run limits in seconds and the poll cadence.
 CONSUMER_LIMIT = 55 * 60
@@ -31,13 +32,14 @@ COMPACT_EVERY = 20
 def run(
     stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None] | None = None,
     path: str | None = None, fmt: str = "parquet", once: bool = False, every: str = POLL,
-    limit: float | None = None, start: str = RESUME, **options: str,
+    limit: float | None = None, start: str = RESUME, log: BatchLog | None = None, **options: str,
 ) -> StreamingQuery:
     """Start a stream into ``foreachBatch`` or an append sink and wait for it, up to a limit if there is one.
 
     ``once`` takes everything available, in bounded batches, then stops. ``start`` says where a stream begins:
     ``resume`` goes on from the checkpoint, or reads all if that is new; ``tail`` does so too but leaves out what
     a new checkpoint finds there already; ``replay`` reads all and refuses a checkpoint that is in use.
+    ``log`` hears of every batch, and has heard of all when this returns.
     """
     used = exists(stream.sparkSession, f"{checkpoint}/offsets")
     if start == REPLAY and used:
@@ -46,14 +48,20 @@ def run(
         skip_to_end(stream, checkpoint, path, fmt)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).options(**options)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
-    if batch is not None:
-        query = writer.foreachBatch(batch).start()
-    else:
-        query = writer.format(fmt).outputMode("append").start(path)
-    if limit is None or once:
-        query.awaitTermination()
-    elif not query.awaitTermination(limit):
-        query.stop()
+    writer = writer.foreachBatch(batch) if batch is not None else writer.format(fmt).outputMode("append")
+    if log is not None:
+        stream.sparkSession.streams.addListener(log)
+    try:
+        query = writer.start() if batch is not None else writer.start(path)
+        if limit is None or once:
+            query.awaitTermination()
+        elif not query.awaitTermination(limit):
+            query.stop()
+        if log is not None and not log.wait(str(query.runId)):
+            raise TimeoutError(f"the end of {query.runId} was not reported")
+    finally:
+        if log is not None:
+            stream.sparkSession.streams.removeListener(log)
     return query
 
 
@@ -83,7 +91,8 @@ def post_batch(
 
     Bad ones are malformed, lack a time or title, or hold a number that no decimal can. Every output folder is
     named by batch, so a retried batch replaces its own output; totals and the ``latest`` post per given columns are
-    bucketed tables, which a retry leaves as they are. Post changes are folded every ``COMPACT_EVERY`` batches.
+    bucketed tables, which a retry leaves as they are. Post changes are folded every ``COMPACT_EVERY`` batches. Rows,
+    rejects and flags are counted by the passes that write them, and recorded per batch.
     """
 
     posts, authors = f"{items}/posts", f"{items}/authors"
@@ -94,8 +103,8 @@ def post_batch(
         enriched = enrich(parsed.withColumn("usable", usable), lexicon, as_of)
         enriched = enriched.withColumn("usable", F.col("usable") & fits_decimals(enriched)).persist()
         try:
-            rejected = enriched.where(~F.col("usable")).select("raw")
-            rejected.write.mode("overwrite").parquet(f"{items}/rejected/batch_id={batch_id}")
+            counted, seen = observed(enriched, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("usable")).alias("rejected"))
+            counted.where(~F.col("usable")).select("raw").write.mode("overwrite").parquet(f"{items}/rejected/batch_id={batch_id}")
             good = enriched.where("usable").drop("raw", "malformed", "usable")
             done = decimals(counted_batch(good, authors, batch_id, buckets=buckets)).persist()
             upsert(done, posts, batch_id, ["id"], ORDER)
@@ -104,7 +113,10 @@ def post_batch(
             done.unpersist()
             if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
                 compact(messages.sparkSession, posts, batch_id - 1, ["id"])
-            anomalies(good).write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
+            flags, hits = observed(anomalies(good), F.count(F.lit(1)).alias("flagged"))
+            flags.write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
+            counts = {"rows": 0, "rejected": 0, "flagged": 0, **seen.get, **hits.get}
+            record(messages.sparkSession, f"{items}/metrics", batch_id, **counts)
         finally:
             enriched.unpersist()
 

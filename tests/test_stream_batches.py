@@ -18,7 +18,7 @@ from feedloom.operators import anomaly
 from feedloom.operators.shape import keyed_json
 from feedloom.sources import readers
 from feedloom.sources.readers import local_rows
-from feedloom.streaming import jobs, windows
+from feedloom.streaming import jobs, metrics, windows
 from tests.test_streams import events, land, source
 
 START = dt.datetime(2024, 1, 1)
@@ -132,3 +132,30 @@ def test_posts_are_folded_and_latest_is_overwritten(spark, tmp_path, monkeypatch
         counts[r[1]] += 1
         want[r[1]] = (r[0], counts[r[1]])
     assert latest == want
+
+
+def test_recorded_counts_equal_the_written_tables(spark, tmp_path):
+    rows, landing, root = events(300), tmp_path / "in", str(tmp_path / "out")
+    rows[7] = (*rows[7][:5], 10**6, *rows[7][6:])
+    lexicon = local_rows(spark, [("good", 0.7)], schemas.LEXICON)
+    for n in range(3):
+        land(spark, landing, n, rows[n * 100:(n + 1) * 100], ["{broken"] * n)
+    heard = []
+    jobs.run(
+        source(spark, landing).observe("lines", F.count(F.lit(1)).alias("n")), f"{root}/checkpoint",
+        batch=jobs.post_batch(lexicon, root), once=True, log=metrics.BatchLog(heard.append))
+    got = {r["batch_id"]: (r["rows"], r["rejected"], r["flagged"]) for r in metrics.read_metrics(spark, f"{root}/metrics").collect()}
+
+    def written(name):
+        return dict(spark.read.parquet(f"{root}/{name}").groupBy("batch_id").count().collect())
+
+    rejected, flagged = written("rejected"), written("anomalies")
+    assert got == {n: (100 + n, rejected.get(n, 0), flagged.get(n, 0)) for n in range(3)}
+    assert [got[n][1] for n in range(3)] == [0, 1, 2] and got[0][2] > 0
+    assert [(h["batch_id"], h["lines"]["n"]) for h in heard] == [(n, 100 + n) for n in range(3)]
+
+
+def test_a_retried_batch_replaces_its_counts(spark, tmp_path):
+    for counts in ({"rows": 5, "rejected": 1, "flagged": 0}, {"rows": 6, "rejected": 2, "flagged": 3}):
+        metrics.record(spark, str(tmp_path / "m"), 4, **counts)
+    assert metrics.read_metrics(spark, str(tmp_path / "m")).collect()[0].asDict() == {"batch_id": 4, "rows": 6, "rejected": 2, "flagged": 3}
