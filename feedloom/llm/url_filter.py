@@ -37,7 +37,7 @@ RULES = [
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host after the first ``://`` in lower case, and the path up to ``?`` or ``#``."""
     at = F.instr(url, "://")
-    rest = F.when(at > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
     rest = F.coalesce(rest, F.lit(""))
     return ascii_lower(F.regexp_extract(rest, "^[^/?#]*", 0)), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
@@ -136,7 +136,7 @@ def judge_pages(pages: DataFrame, is_listed: Column | None = None, shard_bits: i
     """Verdict per page: the longest path rule, else block for listed addresses.
 
     The key is the address without query, host and path. By default an address is listed when
-    a label of its host starts with ``spam``; ``is_listed`` may be any expression over
+    a label of its host, or a part of one behind a hyphen, starts with ``spam``; ``is_listed`` may be any expression over
     ``host`` and ``path``.
     """
     if is_listed is None:

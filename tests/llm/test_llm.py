@@ -397,3 +397,11 @@ def test_language_sample_moves_ids_alone(spark, odd):
     assert all(0 < n <= 2 for _, n in sample.groupBy("lang").count().collect())
     plan = sample._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_host_and_path_of_any_column(spark):
+    urls = ["HTTPS://A.Example.com/de/x?q#f", "http://b://c/d", "no address", None, "x://", "http://é.net#y"]
+    rows = spark.createDataFrame([(u, "http://wrong/") for u in urls], "address string, url string")
+    host, path = url_filter.host_and_path(F.col("address"))
+    got = [tuple(r) for r in rows.select(host, path).collect()]
+    assert got == [("a.example.com", "/de/x"), ("b:", "//c/d"), ("", ""), ("", ""), ("", ""), ("é.net", "")]
