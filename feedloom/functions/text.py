@@ -89,6 +89,23 @@ def page_url(url: Column | str, number: Column) -> Column:
     )
 
 
+def listing_urls(url: Column | str, numbers: Column) -> Column:
+    """``page_url`` for every number of an array; the address is taken apart once, not once per number."""
+    number = r"^(.*?page/)\d+"
+    parts = F.struct(
+        F.rlike(_col(url), F.lit(number)).alias("found"),
+        F.regexp_extract(_col(url), number, 1).alias("head"),
+        F.regexp_replace(_col(url), F.lit(number), F.lit("")).alias("tail"),
+    )
+
+    def addresses(p: Column) -> Column:
+        numbered = F.transform(numbers, lambda n: F.concat(p["head"], n.cast("string"), p["tail"]))
+        return F.when(p["found"], numbered).otherwise(F.transform(numbers, lambda n: p["tail"]))
+
+    # The parts go through an array of one, so that they are worked out once.
+    return F.transform(F.array(parts), addresses)[0]
+
+
 def key_in_bucket(path: Column | str, bucket: str) -> Column:
     """Part of an object path after ``bucket/``."""
     return F.substring_index(_col(path), f"{bucket}/", -1)

@@ -18,6 +18,9 @@ from feedloom.schemas import RECORD_METRICS, STOP_WORDS
 from feedloom.session import pinned
 from feedloom.sources.readers import local_rows, page_urls
 
+# Fixed value: pages whose addresses one task lists.
+LISTED_PAGES = 256
+
 # SQL form of the Unicode white-space and word classes.
 _SPACE = r"\s\p{Z}\x{85}\x{1c}-\x{1f}"
 
@@ -330,11 +333,14 @@ def page_url_list(spark, folder):
     templates = table(spark, folder, "pages").select(
         "page_id", F.concat(F.lit("https://"), host, F.lit("/search/page/1/3")).alias("url")
     )
-    urls = page_urls(templates, "url", F.lit(9999)).groupBy("page_id").agg(
-        F.array_sort(F.collect_list(F.struct("page", "page_url"))).alias("urls")
+    # Tasks of a bounded number of pages: the templates are small, what is made of them is not.
+    parts = max(1, -(-templates.count() // LISTED_PAGES))
+    by_page = templates.repartition(parts, "page_id").groupBy("page_id").agg(
+        F.collect_list("url").alias("templates"), F.count(F.lit(1)).alias("n")
     )
-    lines = F.array_join(F.transform("urls", lambda u: u["page_url"]), "\n")
-    return urls.select("page_id", F.size("urls").cast("bigint").alias("pages"), F.sha2(lines, 256).alias("urls_sha256"))
+    urls = page_urls(by_page, "templates", F.lit(9999), "urls", rows=False)
+    lines = F.array_join("urls", "\n")
+    return urls.select("page_id", (F.col("n") * 9999).alias("pages"), F.sha2(lines, 256).alias("urls_sha256"))
 
 
 @query("""

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from feedloom.functions.text import page_url
+from feedloom.functions.text import listing_urls, page_url
 from feedloom.operators.shape import union_all
 
 
@@ -136,7 +136,17 @@ def observations(spark: SparkSession, path: str, schema: T.StructType, files: in
     return read_stream(spark, "json", path, schema, maxFilesPerTrigger=str(files))
 
 
-def page_urls(df: DataFrame, url: str, pages: Column, out: str = "page_url") -> DataFrame:
-    """The listing addresses 1..pages of every template address."""
-    numbered = df.withColumn("page", F.explode(F.sequence(F.lit(1), pages)))
-    return numbered.withColumn(out, page_url(F.col(url), F.col("page")))
+def page_urls(df: DataFrame, url: str, pages: Column, out: str = "page_url", rows: bool = True) -> DataFrame:
+    """The listing addresses 1..pages of every template address, one row each.
+
+    Without ``rows`` the column ``url`` holds arrays of templates, and ``out`` all their addresses as one array, by
+    page number and then address. They are built inside the row, so no address is shuffled to be put together again.
+    """
+    numbers = F.sequence(F.lit(1), pages)
+    if rows:
+        numbered = df.withColumn("page", F.explode(numbers))
+        return numbered.withColumn(out, page_url(F.col(url), F.col("page")))
+    lists = df.withColumn("_lists", F.transform(url, lambda u: listing_urls(u, numbers)))
+    merged = F.flatten(F.transform(numbers, lambda n, i: F.sort_array(F.transform("_lists", lambda a: F.get(a, i)))))
+    # One template has its addresses in order already.
+    return lists.withColumn(out, F.when(F.size("_lists") == 1, F.col("_lists")[0]).otherwise(merged)).drop("_lists")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import pathlib
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.plans.posts import cleaned_posts, prepare_posts
+from feedloom.queries import QUERIES
 from feedloom.session import new_dir, pinned, shared_dir, spread
 from feedloom.sources import items, readers, writers
 from tests.conftest import plan_of
@@ -104,6 +106,31 @@ def test_local_rows_and_pages(spark, tmp_path):
     assert urls.count() == 9999 and "h/page/9999/3" in {r["page_url"] for r in urls.collect()}
 
 
+def test_addresses_listed_in_the_row(spark):
+    rows = [(1, ["h/page/1/3"]), (2, ["b/page/1", "a/page/7"]), (3, ["no number", "x/page/1page/2"]), (4, [])]
+    listed = readers.page_urls(spark.createDataFrame(rows, "id int, urls array<string>"), "urls", F.lit(12), rows=False)
+    found = {r["id"]: r["page_url"] for r in listed.collect()}
+    single = spark.createDataFrame([(i, u) for i, us in rows for u in us], "id int, url string")
+    for i, urls in found.items():
+        one_by_one = readers.page_urls(single.where(F.col("id") == i), "url", F.lit(12)).collect()
+        assert urls == [u for _, u in sorted((r["page"], r["page_url"]) for r in one_by_one)]
+
+
+def test_listed_addresses_are_not_shuffled(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "https://a.b/c"), (1, "https://b.c/d"), (1, None), (2, None), (None, "https://a.b/c")], "page_id long, url string"
+    ).write.parquet(f"{tmp_path}/pages.parquet")
+    done = QUERIES["page_url_list"](spark, str(tmp_path))
+    assert "Generate" not in plan_of(done) and plan_of(done).count("Exchange") == 1
+    found = {r["page_id"]: (r["pages"], r["urls_sha256"]) for r in done.collect()}
+
+    def digest(*hosts):
+        lines = "\n".join(f"https://{h}/search/page/{n}/3" for n in range(1, 10000) for h in hosts)
+        return hashlib.sha256(lines.encode()).hexdigest()
+
+    assert found == {1: (29997, digest("a.b", "b.c")), 2: (9999, digest()), None: (9999, digest("a.b"))}
+
+
 def test_item_table_against_brute_force(spark, tmp_path):
     table = str(tmp_path / "items")
     assert items.read_items(spark, table, ["k"]) is None
