@@ -13,25 +13,36 @@ from feedloom.operators.running import SLICE_ROWS, running_count, sliced
 from feedloom.sources.buckets import BUCKETS, merge_totals
 
 COUNT = "author_activity_count"
+# Fixed value: groups of authors in the state store.
+GROUPS = 4096
 
 
-def author_counts(events: DataFrame, author: str, order: list[str], out: str = COUNT) -> DataFrame:
-    """Number each author's rows in arrival order, with the count kept in the state store.
+def author_counts(
+    events: DataFrame, author: str, order: list[str], out: str = COUNT, groups: int = GROUPS
+) -> DataFrame:
+    """Number each author's rows in arrival order, with the counts kept in the state store.
 
-    The handler holds one author's rows of one micro-batch, which the source's batch
-    limit bounds. Where one author fills most of a batch, ``counted_batch`` splits it.
+    Authors are hashed into ``groups``, and a group's counts are one state, so the handler is called per group and not
+    per author; choose ``groups`` with the authors and keep it for a checkpoint. The handler holds one group's rows of one
+    micro-batch, which the source's batch limit bounds. Where one author fills most of a batch, ``counted_batch`` splits it.
     """
     schema = T.StructType([*events.schema.fields, T.StructField(out, T.LongType())])
 
     def number(key: tuple, frames: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
+        seen = dict(zip(*state.get)) if state.exists else {}
         rows = pd.concat(list(frames), ignore_index=True).sort_values(order)
-        rows[out] = range(seen + 1, seen + len(rows) + 1)
-        state.update((seen + len(rows),))
-        yield rows
+        names = rows["_name"].fillna("") if key[0] < 0 else rows["_name"]
+        nth = names.groupby(names).cumcount() + 1
+        rows[out] = nth + names.map(seen).fillna(0).astype("int64")
+        seen.update((name, int(n)) for name, n in rows.groupby(names)[out].max().items())
+        state.update((list(seen), list(seen.values())))
+        yield rows[schema.names]
 
-    return events.groupBy(author).applyInPandasWithState(
-        number, schema, "seen bigint", "append", "NoTimeout"
+    # A missing author is one of its own; as text a name stays what it is beside missing ones.
+    name = F.col(author).cast("string")
+    group = F.when(F.col(author).isNull(), -1).otherwise(F.pmod(F.xxhash64(author), F.lit(groups)))
+    return events.withColumns({"_name": name, "_group": group}).groupBy("_group").applyInPandasWithState(
+        number, schema, "names array<string>, seen array<bigint>", "append", "NoTimeout"
     )
 
 

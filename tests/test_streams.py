@@ -119,6 +119,21 @@ def test_state_store_count_equals_brute_force(spark, tmp_path):
     assert got == brute_counts(rows)
 
 
+def test_state_holds_groups_of_authors(spark, tmp_path):
+    rows = [(i, None if i % 31 == 30 else i % 31, i // 62) for i in range(310)]
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id long, author long, at long"
+    spark.createDataFrame([], schema).write.parquet(landing)
+    stream = spark.readStream.schema(schema).parquet(landing)
+    counted = activity.author_counts(stream, "author", ["at", "id"], groups=5)
+    for part in (rows[:150], rows[150:]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(landing)
+        query = jobs.run(counted, f"{out}/c", path=f"{out}/data", once=True)
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
+    got = {tuple(r) for r in spark.read.parquet(f"{out}/data").collect()}
+    assert got == {(i, a, at, i // 31 + 1) for i, a, at in rows}
+
+
 def test_timed_run_stops_at_its_limit(spark, tmp_path):
     land(spark, tmp_path / "in", 0, events(5))
     out = str(tmp_path / "out")
