@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: rows of a source that one task takes where the work is CPU-heavy.
+SPREAD_ROWS = 100_000
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -65,10 +68,10 @@ def pinned(df: DataFrame, name: str = "pinned") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a source of fewer splits than cores more partitions ahead of CPU-heavy work.
+def spread(df: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
+    """Deal a source into enough partitions for CPU-heavy work: one per core, and about ``rows`` rows in each at most.
 
-    A table large enough to fill the cluster keeps its own splits and is not shuffled.
+    So what a task holds or caches does not grow with the table. A table whose own splits are that many is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)

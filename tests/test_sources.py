@@ -169,6 +169,14 @@ def test_shared_folder_and_pins(spark):
     assert spread(wide) is wide and spread(wide.coalesce(1)).rdd.getNumPartitions() == 8
 
 
+def test_spread_bounds_the_rows_of_a_task(spark):
+    dealt = spread(spark.range(0, 5000, 1, 8), rows=100)
+    assert dealt.rdd.getNumPartitions() == 50 and dealt.count() == 5000
+    assert max(dealt.rdd.glom().map(len).collect()) <= 150
+    enough = spark.range(0, 5000, 1, 50)
+    assert spread(enough, rows=100) is enough
+
+
 def test_each_file_is_read_by_its_own_header(spark, tmp_path):
     (tmp_path / "one.csv").write_text("ID,Title,Body\np1,title one,body one\n")
     (tmp_path / "two [x].csv").write_text('﻿ID,Body,Title,extra\np2,"body\ntwo",title two,?\n')
