@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators.shape import keyed_json
 from feedloom.plans.posts import enrich
+from feedloom.session import spread
 from feedloom.sources import items, readers
 from feedloom.sources.readers import local_rows
 from feedloom.streaming import activity, jobs
@@ -151,3 +152,20 @@ def test_anomaly_log_is_per_batch(spark, tmp_path, lexicon):
     handle(keyed_json(spark.createDataFrame([*rows[1:], tuple(spike)], schemas.POST_EVENT)), 1)
     log = spark.read.parquet(f"{tmp_path}/anomalies").select("id", "metric").collect()
     assert ("99999", "score") in {tuple(r) for r in log} and {r["id"] for r in log} == {"99999"}
+
+
+def test_post_job_bounds_the_rows_of_a_cached_part(spark, tmp_path, lexicon, monkeypatch):
+    seen = []
+
+    def enriched(rows, *rest):
+        done = enrich(rows, *rest)
+        seen.extend(r[0] for r in done.groupBy(F.spark_partition_id()).count().select("count").collect())
+        return done
+
+    monkeypatch.setattr(jobs, "spread", lambda df: spread(df, rows=10))
+    monkeypatch.setattr(jobs, "enrich", enriched)
+    rows = events(160)
+    messages = keyed_json(spark.createDataFrame(rows, schemas.POST_EVENT)).repartition(8)
+    jobs.post_batch(lexicon, str(tmp_path), F.lit(AS_OF))(messages, 0)
+    assert sum(seen) == 160 and max(seen) <= 15
+    assert {i: r["author_activity_count"] for i, r in stored(spark, tmp_path).items()} == brute_counts(rows)
