@@ -3,7 +3,8 @@
 Texts are normalised to terms once and written apart by language. A ``CountVectorizer`` per language, with ``min_docs``
 as minDF and the largest vocabSize there is, keeps every term of enough documents and turns each document into an exact
 sparse vector. The vectors are summed per source as a summarizer does, into a buffer per source in each task, whose
-cells are bounded; only what is not zero is shuffled, so a hot source is no more than one row per task and term.
+cells are bounded; only what is not zero is shuffled, the sums of ``SUM_TERMS`` neighbouring terms as one row, so a hot
+source is no more than one row per task and such block. Sorted by source and block, these meet in one array of a block.
 
 A vocabulary passes through the driver, so it is kept to a bound: where a language may keep more than ``SLICE_TERMS``
 terms, they are cut into hashed slices with a ``CountVectorizer`` each. Counts and sums add up over slices, so the
@@ -43,6 +44,8 @@ BLOCK_ENTRIES = 200_000
 FLUSH_PAIRS = 500_000
 # Cells of the sums of sparse vectors that a task holds: 8 bytes each.
 SUM_CELLS = 12_000_000
+# Terms whose sums travel as one row, 12 bytes each.
+SUM_TERMS = 4096
 OUT_ROWS = 100_000
 SIZE_ONE_IN = 8
 # No term is empty: this one keeps a vocabulary from being empty.
@@ -106,7 +109,8 @@ class SumBuffer:
     def add(self, source: str, terms: np.ndarray, counts: np.ndarray) -> None:
         if source not in self.sums:
             self.sums[source] = np.zeros(self.size, np.int64)
-        np.add.at(self.sums[source], terms, counts)
+        # A vector has each term once.
+        self.sums[source][terms] += counts
 
     def full(self) -> bool:
         return len(self.sums) * self.size > SUM_CELLS
@@ -115,16 +119,17 @@ class SumBuffer:
         for source, sums in self.sums.items():
             terms = np.flatnonzero(sums)
             # The filler is no term.
-            terms = terms[terms > 0]
-            for begin in range(0, len(terms), OUT_ROWS):
-                part = terms[begin:begin + OUT_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([source] * len(part), pa.string()), pa.array(part, pa.int32()), pa.array(sums[part])], names=["source", "term", "n"])
+            terms = terms[terms > 0].astype(np.int32)
+            cuts = np.flatnonzero(np.diff(terms // SUM_TERMS, prepend=-1))
+            parts = np.split(terms, cuts[1:]) if len(terms) else []
+            columns = ([source] * len(parts), [int(t[0]) // SUM_TERMS for t in parts], [t.tobytes() for t in parts], [sums[t].tobytes() for t in parts])
+            kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["source", "block", "terms", "counts"])
         self.sums = {}
 
 
 def source_sums(rows: DataFrame, model: CountVectorizerModel, numbers: np.ndarray) -> DataFrame:
-    """(source, term, n): the sum of the sparse vectors of each source, added up within tasks first."""
+    """(source, block, terms, counts): the sums of the sparse vectors of each source in each task, a block of terms a row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = SumBuffer(len(numbers))
@@ -140,8 +145,43 @@ def source_sums(rows: DataFrame, model: CountVectorizerModel, numbers: np.ndarra
 
     vector = F.unwrap_udt(F.col("vector"))
     entries = model.transform(rows).select("source", vector["indices"].alias("indices"), vector["values"].alias("counts"))
-    sums = entries.mapInArrow(run, "source string, term int, n long")
-    return sums.groupBy("source", "term").agg(F.sum("n").alias("n"))
+    return entries.mapInArrow(run, "source string, block int, terms binary, counts binary")
+
+
+def added_sums(parts: DataFrame) -> DataFrame:
+    """(lang_no, slice, source, term, n): the sums of all tasks, block by block."""
+    key = ["lang_no", "slice", "source", "block"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(held: list[tuple]) -> pa.RecordBatch:
+            size = [len(terms) for *_, terms, _ in held]
+            number = pa.array(np.repeat(np.arange(len(held)), size))
+            columns = [pa.array([h[i] for h in held], kind).take(number) for i, kind in enumerate((pa.int32(), pa.int32(), pa.string()))]
+            columns += [pa.array(np.concatenate([h[i] for h in held])) for i in (3, 4)]
+            return pa.RecordBatch.from_arrays(columns, names=[*key[:3], "term", "n"])
+
+        def done() -> tuple:
+            terms = np.flatnonzero(sums).astype(np.int32)
+            return *now[:3], terms + np.int32(now[3] * SUM_TERMS), sums[terms]
+
+        now, sums, held, waiting = None, np.zeros(SUM_TERMS, np.int64), [], 0
+        for batch in batches:
+            for *at, terms, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != now:
+                    if now is not None:
+                        held.append(done())
+                        waiting += len(held[-1][3])
+                        sums[:] = 0
+                    if waiting > OUT_ROWS:
+                        yield batch_of(held)
+                        held, waiting = [], 0
+                    now = at
+                sums[np.frombuffer(terms, np.int32) - now[3] * SUM_TERMS] += np.frombuffer(counts, np.int64)
+        if now is not None:
+            yield batch_of([*held, done()])
+
+    rows = parts.select(*key, "terms", "counts").repartition(*key).sortWithinPartitions(*key)
+    return rows.mapInArrow(run, "lang_no int, slice int, source string, term int, n long")
 
 
 def probability(n: Column, total: Column, terms: Column) -> Column:
@@ -295,7 +335,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, slice_terms
             sums.append(source_sums(cut, model, numbers).withColumns(place))
             words = pa.table({"term": pa.array(range(len(words)), pa.int32()), "item": words})
             names.append(spark.createDataFrame(words).withColumns(place))
-    counts = pinned(_union(sums), "source-sums")
+    counts = pinned(added_sums(_union(sums)), "source-sums")
     names = pinned(_union(names), "terms")
     groups = source_groups(spark, texts, counts, n_terms)
     known = Groups(groups.select("lang_no", "source_no", "n_terms", "absent").collect())

@@ -238,3 +238,22 @@ def test_audit_of_nothing(spark):
 def test_probabilities_of_huge_counts(spark):
     row = spark.range(1).select(divergence.probability(F.lit(4 * 10**15), F.lit(9 * 10**15), F.lit(10**6)).alias("p")).first()
     assert row["p"] == 1 + 10**9 * (4 * 10**15 + 2) // (9 * 10**15 + 2 * 10**6)
+
+
+def test_sums_of_a_task_travel_in_blocks_of_terms(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "SUM_TERMS", 4)
+    monkeypatch.setattr(divergence, "OUT_ROWS", 3)
+    rows, want = [], {}
+    for lang_no, source in ((1, "a"), (1, "b"), (2, "a")):
+        for task in range(3):
+            held = divergence.SumBuffer(30)
+            for term in range(task, 30, lang_no + 1):
+                held.add(source, np.array([0, term] if term else [0]), np.array([9, 10**10 + term] if term else [9]))
+                if term:
+                    want[lang_no, source, term] = want.get((lang_no, source, term), 0) + 10**10 + term
+            rows += [(lang_no, 0, *r.values()) for b in held.batches() for r in b.to_pylist()]
+    # One row per task, source and block of terms, not one per term.
+    assert len(rows) <= 9 * 8
+    parts = spark.createDataFrame(rows, "lang_no int, slice int, source string, block int, terms binary, counts binary")
+    got = divergence.added_sums(parts.repartition(5)).collect()
+    assert {(r["lang_no"], r["source"], r["term"]): r["n"] for r in got} == want and len(got) == len(want)
