@@ -11,9 +11,10 @@ growing number, without the pairs that failed, until no bucket has a survivor.
 
 A bucket is dealt out in chunks of at most ``CHUNK`` members. Chunks of one bucket share its smallest member and some
 ``PIVOTS`` others, so the same component grows in all of them. Later rounds compare what stays outside of a bucket's
-component with all its members. The many bands of a large group of near copies give it as many large buckets of nearly the same
+component with all its members. The many bands of a group of near copies give it as many buckets of nearly the same
 members: those that share their smallest member are one group then, in which an outsider meets each member once
-and not once a band. Buckets without common members have different smallest ones and stay apart.
+and not once a band. Buckets without common members have different smallest ones and stay apart, and so do small ones that
+overlap so little that their group would have more than ``OVERLAP`` times their pairs.
 
 A pair of similarity s is no candidate with probability (1 - s ** ROWS) ** BANDS: 6e-5 at 0.75, 3e-7 at 0.8.
 
@@ -47,6 +48,7 @@ STEPS = (16, 32, 64, 128, 256, 512)
 MISS = 1e-4
 CHUNK = 4096
 PIVOTS = 32
+OVERLAP = 2
 # Survivors with this share of equal bytes count as linked within a round. Of the others a member sends none to
 # the exact check in the first round, so many in the second, and GROWTH times more in each later one.
 SURE = 0.8
@@ -371,7 +373,9 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
         F.array(F.pmod(F.xxhash64("node"), chunks).cast("int")))
     dealt = pinned(rows.join(buckets, "bucket").select("bucket", "n", "pivot", "node", own.alias("chunks")), "buckets")
     narrow = pinned(reps.join(dealt.select("node").distinct(), "node", "left_semi").select("node", "size", "sign", "marks"), "narrow")
-    groups = pinned(wide_groups(dealt, chunk), "groups")
+    alike = overlapping(dealt)
+    groups = pinned(wide_groups(dealt, chunk, alike), "groups")
+    apart = pinned(dealt.filter(F.col("n") <= chunk).join(alike, "pivot", "left_anti"), "apart")
     failed = None
     touched = None
     state = narrow.select("node", F.col("node").alias("comp"))
@@ -387,7 +391,7 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
             members = dealt.join(tried, "node").withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
         else:
             last = touched if round_number > 1 else None
-            members = _open_members(dealt.filter(F.col("n") <= chunk).join(tried, "node"), last, chunk).unionByName(
+            members = _open_members(apart.join(tried, "node"), last, chunk).unionByName(
                 _open_groups(groups.join(tried, "node"), last, chunk))
         members = members.join(narrow, "node")
         members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "marks", "probe", "failed")
@@ -419,13 +423,24 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     return signs, last.select("node", F.col("comp").alias("component")).unionByName(spread)
 
 
-def wide_groups(dealt: DataFrame, chunk: int) -> DataFrame:
-    """(pivot, node, n): the members of all buckets of more than one chunk that share their smallest member, each once.
+def overlapping(dealt: DataFrame) -> DataFrame:
+    """The smallest members whose buckets have, as one group, no more than ``OVERLAP`` times the pairs that they have apart."""
+    apart = dealt.filter("node = pivot").groupBy("pivot").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("apart"))
+    whole = dealt.select("pivot", "node").distinct().groupBy("pivot").agg(F.count(F.lit(1)).cast("double").alias("whole"))
+    return apart.join(whole, "pivot").filter(F.col("whole") * F.col("whole") <= OVERLAP * F.col("apart")).select("pivot")
+
+
+def wide_groups(dealt: DataFrame, chunk: int, alike: DataFrame | None = None) -> DataFrame:
+    """(pivot, node, n): the members of all buckets that share their smallest member, each once; of buckets of more than one
+    chunk, and of any size where the smallest member is among ``alike``.
 
     The smallest member is a MinHash of the bucket, so two buckets share it as likely as they are similar, and a
     group has no more buckets than its smallest member has bands.
     """
-    rows = dealt.filter(F.col("n") > chunk).select("pivot", "node").distinct()
+    rows = dealt.filter(F.col("n") > chunk).select("pivot", "node")
+    if alike is not None:
+        rows = rows.unionByName(dealt.join(alike, "pivot", "left_semi").select("pivot", "node"))
+    rows = rows.distinct()
     return rows.join(rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot")
 
 
@@ -462,7 +477,7 @@ def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) ->
 
 
 def _open_groups(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
-    """Members of groups of large buckets; outsiders are those apart from the group's largest component.
+    """Members of groups of buckets; outsiders are those apart from the group's largest component.
 
     Their chunks have negative numbers, as they own all their pairs.
     """

@@ -285,6 +285,21 @@ def test_a_large_group_is_dealt_once_and_not_once_a_band(spark):
         assert len(part) <= 2 * len(members)
 
 
+def test_small_buckets_of_the_same_members_are_one_group(spark):
+    # 20 buckets of the same five, and 30 that have their smallest member alone in common.
+    rows = [(b, n) for b in range(20) for n in range(5)] + [(100 + b, n) for b in range(30) for n in (50, 1000 + 2 * b, 1001 + 2 * b)]
+    buckets = spark.createDataFrame(rows, "bucket long, node long")
+    sizes = buckets.groupBy("bucket").agg(F.count("node").alias("n"), F.min("node").alias("pivot"))
+    dealt = buckets.join(sizes, "bucket")
+    alike = near_dedup.overlapping(dealt)
+    assert [r["pivot"] for r in alike.collect()] == [0]
+    groups = near_dedup.wide_groups(dealt, 4096, alike)
+    assert sorted(tuple(r) for r in groups.select("pivot", "node", "n").collect()) == [(0, n, 5) for n in range(5)]
+    # Without them every member is dealt once a bucket.
+    state = groups.withColumn("comp", F.col("node")).withColumn("failed", F.lit(None).cast("array<long>"))
+    assert near_dedup._open_groups(state, None, 4096).count() == 5
+
+
 def test_near_groups_of_many_near_copies(spark):
     rng = np.random.default_rng(3)
     base, rows = [f"w{i}" for i in range(90)], []
