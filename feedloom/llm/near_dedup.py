@@ -4,17 +4,19 @@ Documents with one shingle set are one class; classes with at least one shingle
 values, the first ``BANDS * ROWS`` of them cut into bands. Classes that share a band are candidates. Within each band bucket their
 signatures of ``SIGNATURE`` bytes are compared in batches of growing length: after every batch a pair goes as soon
 as the posterior probability of a similarity of at least the threshold is below ``MISS``. A pair that meets in several
-buckets belongs to the first band it shares and is compared there alone. The first round sends only pairs
-that are likely links to the exact check on the full sets, as few as join them. After that, pairs already in one
-component are not compared, and of the survivors each member sends a bounded number. Rounds repeat with a
-growing number, without the pairs that failed, until no bucket has a survivor.
+buckets belongs to the first band it shares and is compared there alone.
+
+The first round sends only pairs that are likely links to the exact check on the full sets, as few as join them. The
+second compares what stays apart: members with a surviving pair get their full sets, and each of their pairs between
+different components is checked where it meets, so rows grow with the members and not with the pairs.
 
 A bucket is dealt out in chunks of at most ``CHUNK`` members. Chunks of one bucket share its smallest member and some
-``PIVOTS`` others, so the same component grows in all of them. Later rounds compare what stays outside of a bucket's
+``PIVOTS`` others, so the same component grows in all of them. The second round compares what stays outside of a bucket's
 component with all its members. The many bands of a group of near copies give it as many buckets of nearly the same
 members: those that share their smallest member are one group then, in which an outsider meets each member once
 and not once a band. Buckets without common members have different smallest ones and stay apart, and so do small ones that
-overlap so little that their group would have more than ``OVERLAP`` times their pairs.
+overlap so little that their group would have more than ``OVERLAP`` times their pairs. The sets of a chunk of the second
+round hold about ``CHUNK_SHINGLES`` shingles at most, or one set of each side.
 
 A pair of similarity s is no candidate with probability (1 - s ** ROWS) ** BANDS: 6e-5 at 0.75, 3e-7 at 0.8.
 
@@ -27,7 +29,7 @@ component has a null id only if all its rows do. An empty table gives an empty r
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -49,10 +51,12 @@ MISS = 1e-4
 CHUNK = 4096
 PIVOTS = 32
 OVERLAP = 2
-# Survivors with this share of equal bytes count as linked within a round. Of the others a member sends none to
-# the exact check in the first round, so many in the second, and GROWTH times more in each later one.
+# Shingles of the sets that meet in one chunk (8 bytes each).
+CHUNK_SHINGLES = 4_000_000
+# Survivors with this share of equal bytes count as linked in the first round.
 SURE = 0.8
-TRIES, GROWTH = 2, 16
+# Survivors of a member that are checked at once, the most alike first.
+AT_ONCE = (8, 512)
 CACHE_WORDS = 500_000
 # Text numbers (8 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -142,7 +146,7 @@ def least_matches() -> list[tuple[int, int]]:
 
 
 def similar(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``many`` signatures survive all batches against ``one`` (or row by row), and whether surely."""
+    """Which of ``many`` signatures survive all batches against ``one`` (or row by row), and their equal bytes."""
     alive, start = np.arange(len(many)), 0
     matches = np.zeros(len(many), np.int64)
     for n, least in least_matches():
@@ -150,7 +154,16 @@ def similar(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         matches = matches + (many[alive, start:n] == left).sum(1)
         keep = matches >= least
         alive, matches, start = alive[keep], matches[keep], n
-    return alive, matches >= SURE * SIGNATURE
+    return alive, matches
+
+
+def linked_to(one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets ``many``, none empty, are linked with the set ``one``."""
+    size = np.array([len(x) for x in many])
+    flat = np.concatenate(many)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    both = np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum(size) - size)
+    return 100 * both >= PERCENT * (len(one) + size - both)
 
 
 class Forest:
@@ -170,25 +183,66 @@ class Forest:
         return a != b
 
 
-class Picker:
-    """Chooses the pairs of one chunk that go to the exact check."""
+class Survivors:
+    """The rows that have a surviving pair."""
+
+    def __init__(self, cols: dict):
+        self.rows = np.zeros(len(cols["node"]), bool)
+
+    def roots(self, comp: np.ndarray) -> np.ndarray:
+        return comp.copy()
+
+    def take(self, one: np.ndarray, two: np.ndarray, matches: np.ndarray) -> list[tuple[int, int]]:
+        """Hear of surviving pairs; returns the components that went into others, with those."""
+        self.rows[one] = self.rows[two] = True
+        return []
+
+
+class Likely:
+    """Pairs that are surely alike, as few as join their components."""
+
+    def __init__(self, cols: dict):
+        self.node, self.comp, self.forest, self.links = cols["node"].tolist(), cols["comp"].tolist(), Forest(), []
 
-    def __init__(self, failed: set, tries: int):
-        self.forest, self.links, self.failed, self.tries = Forest(), [], failed, tries
-        self.tried: dict[int, int] = {}
+    def roots(self, comp: np.ndarray) -> np.ndarray:
+        return np.array([self.forest.root(c) for c in comp.tolist()], np.int64)
 
-    def offer(self, one: int, two: int, one_comp: int, two_comp: int, sure: bool) -> None:
-        pair = (min(one, two), max(one, two))
-        if pair in self.failed or self.forest.root(one_comp) == self.forest.root(two_comp):
-            return
-        if sure:
-            self.forest.join(one_comp, two_comp)
-        elif min(self.tried.get(one, 0), self.tried.get(two, 0)) >= self.tries:
-            return
-        else:
-            for x in pair:
-                self.tried[x] = self.tried.get(x, 0) + 1
-        self.links.append(pair)
+    def apart(self, i: int, j: int) -> bool:
+        return self.forest.root(self.comp[i]) != self.forest.root(self.comp[j])
+
+    def link(self, i: int, j: int) -> list[tuple[int, int]]:
+        old = [self.forest.root(self.comp[x]) for x in (i, j)]
+        if not self.forest.join(*old):
+            return []
+        self.links.append((min(self.node[i], self.node[j]), max(self.node[i], self.node[j])))
+        return [(max(old), min(old))]
+
+    def take(self, one: np.ndarray, two: np.ndarray, matches: np.ndarray) -> list[tuple[int, int]]:
+        sure = matches >= SURE * SIGNATURE
+        return [m for pair in zip(one[sure].tolist(), two[sure].tolist(), strict=True) for m in self.link(*pair)]
+
+
+class Confirmed(Likely):
+    """Pairs that are linked by their full sets, as few as join their components; no other pair of these is linked."""
+
+    def __init__(self, cols: dict):
+        super().__init__(cols)
+        self.sets = [np.frombuffer(x, np.uint64) for x in cols["shingles"]]
+
+    def take(self, one: np.ndarray, two: np.ndarray, matches: np.ndarray) -> list[tuple[int, int]]:
+        merged = []
+        order = np.lexsort((-matches, one))
+        one, two = one[order], two[order]
+        begins = np.flatnonzero(np.diff(one, prepend=-1))
+        for begin, end in zip(begins.tolist(), np.append(begins, len(one))[1:].tolist(), strict=True):
+            i, count = int(one[begin]), AT_ONCE[0]
+            while begin < end:
+                part = [j for j in two[begin:min(begin + count, end)].tolist() if self.apart(i, j)]
+                if part:
+                    linked = linked_to(self.sets[i], [self.sets[j] for j in part])
+                    merged += [m for j, yes in zip(part, linked.tolist(), strict=True) if yes for m in self.link(i, j)]
+                begin, count = begin + count, AT_ONCE[1]
+        return merged
 
 
 def own_pairs(bucket, one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -197,48 +251,43 @@ def own_pairs(bucket, one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return many[np.arange(len(many)), first] == bucket
 
 
-def bucket_links(bucket, node, comp, size, sign, marks, probe, failed, tries) -> list[tuple[int, int]]:
-    """Pairs to check of one chunk; ``probe`` marks the members that are compared with all others.
+def large_chunk(bucket, begin: int, end: int, cols: dict, taker) -> None:
+    """Show the surviving pairs of one chunk to ``taker``; ``probe`` marks the members that are compared with all others.
 
     ``bucket`` is None for a group of several buckets, which owns all its pairs.
     """
-    picker, comp = Picker(failed, tries), comp.copy()
+    size, sign, marks, probe = (cols[c][begin:end] for c in ("size", "sign", "marks", "probe"))
+    comp, rows = taker.roots(cols["comp"][begin:end]), np.arange(end - begin)
     for i in np.flatnonzero(probe).tolist():
-        later = np.flatnonzero((comp != comp[i]) & (~probe | (np.arange(len(node)) > i)))
+        later = np.flatnonzero((comp != comp[i]) & (~probe | (rows > i)))
         fits = (np.minimum(size[later], size[i]) * 100 >= PERCENT * np.maximum(size[later], size[i]))
         later = later[fits]
         if bucket is not None:
             later = later[own_pairs(bucket, marks[i], marks[later])]
-        alive, sure = similar(sign[i], sign[later])
-        for j, s in zip(later[alive].tolist(), sure.tolist(), strict=True):
-            picker.offer(int(node[i]), int(node[j]), int(comp[i]), int(comp[j]), s)
-        # Members surely joined to this one are not compared with it again.
-        if sure.any():
-            comp = np.array([picker.forest.root(c) for c in comp.tolist()])
-    return picker.links
+        alive, matches = similar(sign[i], sign[later])
+        # Members joined to this one are not compared with it again.
+        for old, new in taker.take(np.full(len(alive), begin + i), begin + later[alive], matches):
+            comp[comp == old] = new
 
 
-def small_links(bucket, node, comp, size, sign, marks, probe, chunk, wide, failed, tries) -> list[tuple[int, int]]:
-    """The same for many small buckets at once: their pairs are compared row by row."""
+def small_chunks(rows: np.ndarray, chunk: np.ndarray, wide: np.ndarray, cols: dict, taker) -> None:
+    """The same for the rows of many small chunks at once: their pairs are compared row by row."""
+    size, sign, marks, probe, comp = (cols[c] for c in ("size", "sign", "marks", "probe", "comp"))
     first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
     length = np.diff(np.append(first, len(chunk)))
     reps = np.repeat(length, length) - (np.arange(len(chunk)) - np.repeat(first, length)) - 1
     left = np.repeat(np.arange(len(chunk)), reps)
     right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(reps) - reps, reps)
+    owns_all = wide[left]
+    left, right = rows[left], rows[right]
     keep = (comp[left] != comp[right]) & (probe[left] | probe[right]) & (
         np.minimum(size[left], size[right]) * 100 >= PERCENT * np.maximum(size[left], size[right]))
-    left, right = left[keep], right[keep]
-    own = wide[left] | own_pairs(bucket[left], marks[left], marks[right])
+    left, right, owns_all = left[keep], right[keep], owns_all[keep]
+    own = owns_all | own_pairs(cols["key"][left, 0].astype(np.uint32), marks[left], marks[right])
     left, right = left[own], right[own]
-    pickers: dict[int, Picker] = {}
     for i in range(0, len(left), 200_000):
-        alive, sure = similar(sign[left[i:i + 200_000]], sign[right[i:i + 200_000]])
-        one, two = left[i + alive], right[i + alive]
-        for b, *pair in zip(*(x.tolist() for x in (chunk[one], node[one], node[two], comp[one], comp[two], sure)), strict=True):
-            if b not in pickers:
-                pickers[b] = Picker(failed, tries)
-            pickers[b].offer(*pair)
-    return [pair for picker in pickers.values() for pair in picker.links]
+        alive, matches = similar(sign[left[i:i + 200_000]], sign[right[i:i + 200_000]])
+        taker.take(left[i + alive], right[i + alive], matches)
 
 
 def first_of_each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -271,60 +320,78 @@ def signatures(texts: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["row"])
 
 
-def _candidates(members: DataFrame, tries: int) -> DataFrame:
-    """Surviving pairs of the chunks: (bucket, chunk, node, comp, size, sign, marks, probe, failed), sorted by chunk."""
+MEMBER = "bucket long, chunk int, node long, comp long, size long, sign binary, marks binary, probe boolean"
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(cols: dict[str, np.ndarray], failed: set) -> set[tuple[int, int]]:
-            key = cols["key"]
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
-            length = np.diff(np.append(first, len(key)))
-            each = np.repeat(np.arange(len(first)), length)
-            found: set[tuple[int, int]] = set()
-            names = ("node", "comp", "size", "sign", "marks", "probe")
-            bucket, wide = key[:, 0].astype(np.uint32), key[:, 1] < 0
-            # Chunks of few members go together.
-            few = (length <= 24)[each]
-            if few.any():
-                found.update(small_links(bucket[few], *(cols[c][few] for c in names), each[few], wide[few], failed, tries))
-            for f, n in zip(first.tolist(), length.tolist(), strict=True):
-                if not few[f]:
-                    part = slice(f, f + n)
-                    found.update(bucket_links(None if wide[f] else bucket[f], *(cols[c][part] for c in names), failed, tries))
-            return found
-
-        def columns(held: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], set]:
-            t = pa.Table.from_batches(held)
-            cols = {c: t[c].to_numpy() for c in ("node", "comp", "size", "probe")}
-            cols["key"] = np.stack([t["bucket"].to_numpy(), t["chunk"].to_numpy()], 1)
-            cols["sign"] = np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-            cols["marks"] = np.frombuffer(b"".join(t["marks"].to_pylist()), np.uint32).reshape(-1, BANDS)
-            failed = {(min(a, b), max(a, b)) for a, bs in zip(t["node"].to_pylist(), t["failed"].to_pylist(), strict=True) if bs for b in bs}
-            return cols, failed
 
+def _in_chunks(members: DataFrame, schema: str, result: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """``result`` of whole chunks of members, some at a time; a chunk lies in one task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count = 0
+        count = size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            count += batch.num_rows
-            if count < 2 * CHUNK:
+            count, size = count + batch.num_rows, size + batch.nbytes
+            if count < 2 * CHUNK and size < 16 * CHUNK_SHINGLES:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             bucket, chunk = table["bucket"].to_numpy(), table["chunk"].to_numpy()
             # The last chunk may go on in the next batch.
-            whole = int(np.flatnonzero((bucket != bucket[-1]) | (chunk != chunk[-1]))[-1]) + 1 if (bucket != bucket[-1]).any() or (chunk != chunk[-1]).any() else 0
+            ended = np.flatnonzero((bucket != bucket[-1]) | (chunk != chunk[-1]))
+            whole = int(ended[-1]) + 1 if len(ended) else 0
             if whole:
-                found = links(*columns(table.slice(0, whole).to_batches()))
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+                yield from result(table.slice(0, whole)).to_batches()
             held = table.slice(whole).to_batches()
-            count = len(table) - whole
+            count, size = len(table) - whole, sum(b.nbytes for b in held)
         if count:
-            found = links(*columns(held))
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+            yield from result(pa.Table.from_batches(held)).to_batches()
+
+    dealt = members.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node")
+    return dealt.mapInArrow(run, schema)
+
+
+def _compared(table: pa.Table, kind: type):
+    """A taker of ``kind`` that was shown the surviving pairs of all chunks of the table."""
+    cols = {c: table[c].to_numpy() for c in ("node", "comp", "size", "probe")}
+    cols["key"] = np.stack([table["bucket"].to_numpy(), table["chunk"].to_numpy()], 1)
+    cols["sign"] = np.frombuffer(b"".join(table["sign"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+    cols["marks"] = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint32).reshape(-1, BANDS)
+    if "shingles" in table.column_names:
+        cols["shingles"] = table["shingles"].to_pylist()
+    key, taker = cols["key"], kind(cols)
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+    length = np.diff(np.append(first, len(key)))
+    each = np.repeat(np.arange(len(first)), length)
+    # Chunks of few members go together.
+    few, wide = (length <= 24)[each], key[:, 1] < 0
+    if few.any():
+        small_chunks(np.flatnonzero(few), each[few], wide[few], cols, taker)
+    for f, n in zip(first.tolist(), length.tolist(), strict=True):
+        if n > 24:
+            large_chunk(None if wide[f] else key[f, 0].astype(np.uint32), f, f + n, cols, taker)
+    return taker
+
 
-    return members.mapInArrow(run, "a long, b long").distinct()
+def _pairs(taker) -> pa.Table:
+    found = sorted(set(taker.links))
+    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+
+
+def _likely(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that are likely links, as few as join the members of each chunk."""
+    return _in_chunks(members, "a long, b long", lambda t: _pairs(_compared(t, Likely))).distinct()
+
+
+def _links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) linked by their full sets, as few as join the components that meet in each chunk.
+
+    Members with a surviving pair are found first, so that only these carry their sets.
+    """
+    left = pinned(_in_chunks(members, MEMBER, lambda t: t.filter(pa.array(_compared(t, Survivors).rows))), "survivors")
+    sets = pinned(_sets_of(texts, pinned(left.select("node").distinct(), "wanted")), "sets")
+    return _in_chunks(left.join(sets, "node").select(*left.columns, "shingles"), "a long, b long", lambda t: _pairs(_compared(t, Confirmed))).distinct()
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -376,51 +443,35 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     alike = overlapping(dealt)
     groups = pinned(wide_groups(dealt, chunk, alike), "groups")
     apart = pinned(dealt.filter(F.col("n") <= chunk).join(alike, "pivot", "left_anti"), "apart")
-    failed = None
-    touched = None
     state = narrow.select("node", F.col("node").alias("comp"))
-    round_number = 0
-    while True:
-        tried = state.withColumn("failed", F.lit(None).cast("array<long>"))
-        if failed is not None:
-            both = failed.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-                failed.select(F.col("b").alias("node"), F.col("a").alias("other")))
-            tried = state.join(both.groupBy("node").agg(F.collect_set("other").alias("failed")), "node", "left")
-        if round_number == 0:
-            # Every member of a chunk is compared with every other; the pivots are in all chunks.
-            members = dealt.join(tried, "node").withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
-        else:
-            last = touched if round_number > 1 else None
-            members = _open_members(apart.join(tried, "node"), last, chunk).unionByName(
-                _open_groups(groups.join(tried, "node"), last, chunk))
-        members = members.join(narrow, "node")
-        members = members.select("bucket", "chunk", "node", "comp", "size", "sign", "marks", "probe", "failed")
-        found = members.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "node")
-        tries = TRIES * GROWTH ** (round_number - 1) if round_number else 0
-        pairs = pinned(_candidates(found, tries), "pairs")
-        if pairs.isEmpty():
-            if round_number:
-                break
-            round_number = 1
-            continue
+    sized = narrow.select("node", "size")
+    # First every member of a chunk is compared with every other; the pivots are in all chunks.
+    members = dealt.join(state, "node").withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
+    pairs = pinned(_likely(_with_signs(members, narrow)), "pairs")
+    if not pairs.isEmpty():
         wanted = pinned(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
         sets = pinned(_sets_of(texts, wanted), "sets")
-        checked = pinned(_confirmed(pairs, sets), "checked")
-        new = checked.filter("linked").select("a", "b")
-        missed = checked.filter("not linked").select("a", "b")
-        failed = missed if failed is None else failed.unionByName(missed)
-        touched = wanted
-        # Only the new links, between components, are contracted.
-        one, two = state.select(F.col("node").alias("a"), F.col("comp").alias("x")), state.select(F.col("node").alias("b"), F.col("comp").alias("y"))
-        between = new.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        merged = components(between).select(F.col("node").alias("comp"), "component")
-        state = pinned(state.join(merged, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "state")
-        round_number += 1
+        state = _merged(state, _confirmed(pairs, sets).filter("linked").select("a", "b"))
+    # Then what is still apart, all of it.
+    members = _open_members(apart.join(state, "node"), sized, chunk).unionByName(_open_groups(groups.join(state, "node"), sized, chunk))
+    state = _merged(state, _links(_with_signs(members, narrow), texts))
     # Classes of equal sets carry the component of their smallest row.
-    last = state.select("node", "comp")
-    spread = links.select(F.col("a").alias("row"), F.col("b").alias("node")).join(last, "node", "left")
+    spread = links.select(F.col("a").alias("row"), F.col("b").alias("node")).join(state, "node", "left")
     spread = spread.select(F.col("row").alias("node"), F.coalesce("comp", "node").alias("component"))
-    return signs, last.select("node", F.col("comp").alias("component")).unionByName(spread)
+    return signs, state.select("node", F.col("comp").alias("component")).unionByName(spread)
+
+
+def _with_signs(members: DataFrame, narrow: DataFrame) -> DataFrame:
+    members = members.select("bucket", "chunk", "node", "comp", "probe").join(narrow, "node")
+    return members.select("bucket", "chunk", "node", "comp", "size", "sign", "marks", "probe")
+
+
+def _merged(state: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of all nodes (node, comp) with new links; only those between components are contracted."""
+    one, two = state.select(F.col("node").alias("a"), F.col("comp").alias("x")), state.select(F.col("node").alias("b"), F.col("comp").alias("y"))
+    between = links.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    merged = components(between).select(F.col("node").alias("comp"), "component")
+    return pinned(state.join(merged, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "state")
 
 
 def overlapping(dealt: DataFrame) -> DataFrame:
@@ -444,39 +495,38 @@ def wide_groups(dealt: DataFrame, chunk: int, alike: DataFrame | None = None) ->
     return rows.join(rows.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot")
 
 
-def _again(marked: DataFrame, key: str, touched: DataFrame | None) -> DataFrame:
-    """The buckets or groups with outsiders, and how many; after the first time only those with a member that was
-    sent to the exact check in the last round, as the others have no survivors left.
-    """
-    seen = marked if touched is None else marked.join(touched.select("node", F.lit(1).alias("touched")), "node", "left")
-    seen = seen.withColumn("touched", F.lit(1)) if touched is None else seen
-    counts = seen.groupBy(key).agg(F.count_if("probe").alias("outside"), F.count("touched").alias("again"))
-    return counts.filter("outside > 0 and again > 0").select(key, "outside")
+def _again(marked: DataFrame, key: str, sized: DataFrame | None) -> DataFrame:
+    """The buckets or groups with outsiders, how many, and the shingles of the outsiders and of all members (``sized``)."""
+    seen = marked.withColumn("size", F.lit(0)) if sized is None else marked.join(sized, "node")
+    counts = seen.groupBy(key).agg(
+        F.count_if("probe").alias("outside"), F.sum(F.when(F.col("probe"), F.col("size"))).alias("outside_size"), F.sum("size").alias("whole_size"))
+    return counts.filter("outside > 0")
 
 
 def _in_blocks(marked: DataFrame, chunk: int) -> DataFrame:
     """Deal members so that every outsider (``probe``) meets all: a block of outsiders and a part of the members form
     one ``chunk``.
     """
-    half = max(1, chunk // 2)
-    blocks, parts = F.ceil(F.col("outside") / half).cast("int"), F.ceil(F.col("n") / half).cast("int")
+    half, half_size = max(1, chunk // 2), CHUNK_SHINGLES // 2
+    blocks = F.ceil(F.greatest(F.col("outside") / half, F.col("outside_size") / half_size)).cast("int")
+    parts = F.ceil(F.greatest(F.col("n") / half, F.col("whole_size") / half_size)).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
     # An outsider goes to its block in every part, any other member to its part in every block.
     as_probe = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: p * blocks + block)
     as_member = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: part * blocks + b)
     to = F.when(F.col("probe"), F.array_distinct(F.concat(as_probe, as_member))).otherwise(as_member)
-    return marked.withColumn("chunk", F.explode(to)).select("bucket", "chunk", "node", "comp", "failed", "probe")
+    return marked.withColumn("chunk", F.explode(to)).select("bucket", "chunk", "node", "comp", "probe")
 
 
-def _open_members(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
+def _open_members(members: DataFrame, sized: DataFrame | None, chunk: int) -> DataFrame:
     """Members of buckets with several components; outsiders are those apart from the component of the pivot."""
     pivots = members.filter("node = pivot").select("bucket", F.col("comp").alias("main"))
     marked = members.join(pivots, "bucket").withColumn("probe", F.col("comp") != F.col("main"))
-    return _in_blocks(marked.join(_again(marked, "bucket", touched), "bucket"), chunk)
+    return _in_blocks(marked.join(_again(marked, "bucket", sized), "bucket"), chunk)
 
 
-def _open_groups(members: DataFrame, touched: DataFrame | None, chunk: int) -> DataFrame:
+def _open_groups(members: DataFrame, sized: DataFrame | None, chunk: int) -> DataFrame:
     """Members of groups of buckets; outsiders are those apart from the group's largest component.
 
     Their chunks have negative numbers, as they own all their pairs.
@@ -484,7 +534,7 @@ def _open_groups(members: DataFrame, touched: DataFrame | None, chunk: int) -> D
     sizes = members.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("size"))
     mains = sizes.groupBy("pivot").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"))
     marked = members.join(mains, "pivot").withColumn("probe", F.col("comp") != F.col("main"))
-    marked = marked.join(_again(marked, "pivot", touched), "pivot").withColumnRenamed("pivot", "bucket")
+    marked = marked.join(_again(marked, "pivot", sized), "pivot").withColumnRenamed("pivot", "bucket")
     return _in_blocks(marked, chunk).withColumn("chunk", -1 - F.col("chunk"))
 
 

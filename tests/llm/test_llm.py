@@ -313,6 +313,41 @@ def test_near_groups_of_many_near_copies(spark):
     assert got == exact_components(rows)
 
 
+def test_near_copies_below_the_threshold_make_no_row_per_pair(spark, monkeypatch):
+    # Every pair has a similarity of 0.73, which survives the signatures; one is linked.
+    common, rows = [f"w{i}" for i in range(170)], []
+    for i in range(300):
+        rows.append((i, " ".join([*common, *(f"x{i}-{k}" for k in range(30))])))
+    rows.append((300, f"{rows[7][1]} end"))
+    made, pinned = [], near_dedup.pinned
+
+    def counted(df, name="pinned"):
+        done = pinned(df, name)
+        made.append((done.count(), name))
+        return done
+
+    monkeypatch.setattr(near_dedup, "pinned", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_groups(docs).collect()}
+    assert got == exact_components(rows)
+    assert max(made)[0] <= near_dedup.BANDS * len(rows)
+
+
+def test_members_with_large_sets_meet_in_more_chunks(spark):
+    state = spark.range(60).selectExpr("0L AS pivot", "id AS node", "60L AS n", "IF(id < 30, 0L, id) AS comp")
+    sized = spark.range(60).selectExpr("id AS node", "400000L AS size")
+    dealt = near_dedup._open_groups(state, sized, 4096).toPandas()
+    assert dealt.groupby("chunk").size().max() * 400_000 <= 3 * near_dedup.CHUNK_SHINGLES
+    met = {(a, b) for _, c in dealt.groupby("chunk") for a in c.node[c.probe] for b in c.node if a != b}
+    assert met == {(a, b) for a in range(30, 60) for b in range(60) if a != b}
+    assert near_dedup._open_groups(state, None, 4096).select("chunk").distinct().count() == 1
+
+
+def test_sets_are_linked_from_75_percent_on():
+    one, many = np.arange(100, dtype=np.uint64), [range(75), range(74), range(100), range(25, 125), [99], range(200, 300), [*range(100), 200]]
+    assert near_dedup.linked_to(one, [np.array(x, np.uint64) for x in many]).tolist() == [True, False, True, False, False, False, True]
+
+
 def test_pruning_loses_few_pairs_over_all_steps():
     t = 0.75 + 0.25 / 256
     lost = [sum(math.comb(n, k) * t ** k * (1 - t) ** (n - k) for k in range(m)) for n, m in near_dedup.least_matches()]
