@@ -446,7 +446,7 @@ def text_components(texts: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, Da
     state = narrow.select("node", F.col("node").alias("comp"))
     sized = narrow.select("node", "size")
     # First every member of a chunk is compared with every other; the pivots are in all chunks.
-    members = dealt.join(state, "node").withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
+    members = dealt.withColumn("comp", F.col("node")).withColumn("probe", F.lit(True)).withColumn("chunk", F.explode("chunks"))
     pairs = pinned(_likely(_with_signs(members, narrow)), "pairs")
     if not pairs.isEmpty():
         wanted = pinned(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
