@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,18 @@ def spread(df: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
     """
     parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
     return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
+
+
+@contextmanager
+def spread_shuffles(spark: SparkSession, total: int, rows: int = SPREAD_ROWS) -> Iterator[None]:
+    """Let shuffles inside the block have at least one partition per ``rows`` of ``total`` rows; adaptive execution merges small ones.
+
+    Sets the session's number of shuffle partitions and restores it. A micro-batch has its stream's own session.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), -(-total // rows))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -13,7 +13,7 @@ from feedloom.operators.quality import decimals, fits_decimals
 from feedloom.operators.shape import decode
 from feedloom.plans.posts import enrich, is_usable
 from feedloom.schemas import POST_EVENT
-from feedloom.session import spread
+from feedloom.session import spread, spread_shuffles
 from feedloom.sources.buckets import BUCKETS, exists, merge_items
 from feedloom.sources.items import compact, upsert
 from feedloom.streaming.activity import counted_batch
@@ -92,7 +92,8 @@ def post_batch(
     Bad ones are malformed, lack a time or title, or hold a number that no decimal can. Every output folder is
     named by batch, so a retried batch replaces its own output; totals and the ``latest`` post per given columns are
     bucketed tables, which a retry leaves as they are. Post changes are folded every ``COMPACT_EVERY`` batches. Rows,
-    rejects and flags are counted by the passes that write them, and recorded per batch.
+    rejects and flags are counted by the passes that write them, and recorded per batch. The rows also set the number of
+    shuffle partitions of the passes behind the first, so what a task of these reads or caches does not grow with the batch.
     """
 
     posts, authors = f"{items}/posts", f"{items}/authors"
@@ -105,18 +106,19 @@ def post_batch(
         try:
             counted, seen = observed(enriched, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("usable")).alias("rejected"))
             counted.where(~F.col("usable")).select("raw").write.mode("overwrite").parquet(f"{items}/rejected/batch_id={batch_id}")
-            good = enriched.where("usable").drop("raw", "malformed", "usable")
-            done = decimals(counted_batch(good, authors, batch_id, buckets=buckets)).persist()
-            upsert(done, posts, batch_id, ["id"], ORDER)
-            if latest:
-                merge_items(done, f"{items}/latest", batch_id, list(latest), ORDER, buckets)
-            done.unpersist()
-            if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-                compact(messages.sparkSession, posts, batch_id - 1, ["id"])
-            flags, hits = observed(anomalies(good), F.count(F.lit(1)).alias("flagged"))
-            flags.write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
-            counts = {"rows": 0, "rejected": 0, "flagged": 0, **seen.get, **hits.get}
-            record(messages.sparkSession, f"{items}/metrics", batch_id, **counts)
+            with spread_shuffles(messages.sparkSession, seen.get.get("rows", 0)):
+                good = enriched.where("usable").drop("raw", "malformed", "usable")
+                done = decimals(counted_batch(good, authors, batch_id, buckets=buckets)).persist()
+                upsert(done, posts, batch_id, ["id"], ORDER)
+                if latest:
+                    merge_items(done, f"{items}/latest", batch_id, list(latest), ORDER, buckets)
+                done.unpersist()
+                if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                    compact(messages.sparkSession, posts, batch_id - 1, ["id"])
+                flags, hits = observed(anomalies(good), F.count(F.lit(1)).alias("flagged"))
+                flags.write.mode("overwrite").parquet(f"{items}/anomalies/batch_id={batch_id}")
+                counts = {"rows": 0, "rejected": 0, "flagged": 0, **seen.get, **hits.get}
+                record(messages.sparkSession, f"{items}/metrics", batch_id, **counts)
         finally:
             enriched.unpersist()
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators.shape import keyed_json
 from feedloom.plans.posts import enrich
-from feedloom.session import spread
+from feedloom.session import spread, spread_shuffles
 from feedloom.sources import items, readers
 from feedloom.sources.readers import local_rows
 from feedloom.streaming import activity, jobs
@@ -169,3 +169,32 @@ def test_post_job_bounds_the_rows_of_a_cached_part(spark, tmp_path, lexicon, mon
     jobs.post_batch(lexicon, str(tmp_path), F.lit(AS_OF))(messages, 0)
     assert sum(seen) == 160 and max(seen) <= 15
     assert {i: r["author_activity_count"] for i, r in stored(spark, tmp_path).items()} == brute_counts(rows)
+
+
+def test_post_job_bounds_the_rows_of_a_part_behind_its_shuffles(spark, tmp_path, lexicon, monkeypatch):
+    sizes = []
+
+    def recorded(batch, *rest):
+        sizes.extend(r[0] for r in batch.groupBy(F.spark_partition_id()).count().select("count").collect())
+        items.upsert(batch, *rest)
+
+    monkeypatch.setattr(jobs, "spread_shuffles", lambda session, total: spread_shuffles(session, total, rows=10), raising=False)
+    monkeypatch.setattr(jobs, "upsert", recorded)
+    rows = [(r[0], f"a{i % 80}", *r[2:]) for i, r in enumerate(events(320))]
+    land(spark, tmp_path / "in", 0, rows)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, setting in settings.items():
+            spark.conf.set(name, setting)
+        root = str(tmp_path / "out")
+        handle = jobs.post_batch(lexicon, root, F.lit(AS_OF))
+        jobs.run(source(spark, tmp_path / "in"), f"{root}/checkpoint", batch=handle, once=True)
+        # Outside a stream the session is the caller's own, and gets its setting back.
+        handle(keyed_json(spark.createDataFrame(rows, schemas.POST_EVENT)), 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting)
+    assert sum(sizes) == 640 and max(sizes) <= 40
+    assert {i: r["author_activity_count"] for i, r in stored(spark, root).items()} == {i: n + 4 for i, n in brute_counts(rows).items()}
