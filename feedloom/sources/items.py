@@ -54,7 +54,8 @@ def read_items(
     if not changes:
         return base
     newer = spark.read.option("basePath", f"{table}/changes").parquet(*changes)
-    newest = latest_per_key(newer, keys, ["batch_id"]).drop("batch_id")
+    # One batch has one row per key already.
+    newest = (latest_per_key(newer, keys, ["batch_id"]) if len(changes) > 1 else newer).drop("batch_id")
     if base is None:
         return newest
     return base.join(newest.select(*keys), keys, "left_anti").unionByName(newest)

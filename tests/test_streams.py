@@ -17,6 +17,7 @@ from feedloom.session import spread, spread_shuffles
 from feedloom.sources import items, readers
 from feedloom.sources.readers import local_rows
 from feedloom.streaming import activity, jobs
+from tests.conftest import plan_of
 
 AS_OF = dt.datetime(2024, 2, 1)
 
@@ -198,3 +199,13 @@ def test_post_job_bounds_the_rows_of_a_part_behind_its_shuffles(spark, tmp_path,
             spark.conf.set(name, setting)
     assert sum(sizes) == 640 and max(sizes) <= 40
     assert {i: r["author_activity_count"] for i, r in stored(spark, root).items()} == {i: n + 4 for i, n in brute_counts(rows).items()}
+
+
+def test_one_batch_of_an_item_table_is_read_without_a_shuffle(spark, tmp_path):
+    table, rows = str(tmp_path), [(f"{i % 50:02d}", i) for i in range(200)]
+    items.upsert(spark.createDataFrame(rows[:100], "id string, n long"), table, 0, ["id"], ["n"])
+    one = items.read_items(spark, table, ["id"])
+    assert one.columns == ["id", "n"] and {tuple(r) for r in one.collect()} == {(f"{i % 50:02d}", i) for i in range(50, 100)}
+    assert "Exchange" not in plan_of(one)
+    items.upsert(spark.createDataFrame(rows[125:], "id string, n long"), table, 1, ["id"], ["n"])
+    assert {tuple(r) for r in items.read_items(spark, table, ["id"]).collect()} == {(f"{i % 50:02d}", i) for i in range(150, 200)}
