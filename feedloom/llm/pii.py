@@ -8,7 +8,8 @@ are computed in turn over the graph of patterns and instances. Unknown tokens wi
 score at least ``ACCEPT`` become spans of that kind, with all their occurrences in confident patterns.
 
 Everything is column expressions: matches and the text between them come from ``regexp_extract_all`` and
-``split``, positions from a running sum of their lengths. Patterns are possessive and do not restart inside a run, so
+``split``, positions from a running sum of their lengths. One pass cuts a text into pieces that end in tokens with a digit
+or an ``@``; the patterns run over those ends alone, each once. They are possessive and do not restart inside a run, so
 long texts cost one pass.
 
 Defined cases: a null text counts as empty. Repeated rows and repeated or null ids give a row each. An empty
@@ -33,30 +34,43 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "other": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",
 }
-NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "other": None}
 OTHER = "other"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 BYTE_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 # A pattern needs so many different seeds; context reaches so many characters.
 SUPPORT = 3
 CONTEXT = 80
+# Every match lies in tokens with a digit or an ``@`` and what joins them in a phone or card. A piece runs from the one before
+# to the last of such tokens that follow each other; the next one begins more than CONTEXT characters behind it.
+PIECE = rf"\G[^0-9@]*+[0-9@]\S*+(?:[\x20().-]*+[^0-9@]{{0,{CONTEXT}}}+[^\s0-9@]*+[0-9@]\S*+)*+"
+# A piece from its first such token.
+TOKENS = r"(?s)^(?:[^\s0-9@]*+\s++)*+(.*+)"
 ROUNDS = 3
 ACCEPT = 0.6
 FILTER_BITS = 1 << 23
 
 
-def hits(text: Column, pattern: str, kind: str, needs: str | None) -> Column:
-    """Matches of one kind: number, length of the text between, match, and the words around it."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    if needs:
-        found = F.when(F.instr(text, needs) > 0, found).otherwise(F.array().cast("array<string>"))
-    between = F.when(F.size(found) > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-    rows = F.arrays_zip(found.alias("value"), between.alias("gap"), F.slice(between, 2, F.size(found)).alias("after"))
-    rows = F.filter(rows, lambda x: x["value"].isNotNull())
+def pieces_of(text: Column) -> Column:
+    """The text up to its last digit or ``@`` in pieces; null without any, which one quick look tells."""
+    return F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)))
+
+
+def found_in(text: Column, kind: str) -> Column:
+    """Matches of one kind in order."""
+    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    if NEEDS[kind]:
+        found = F.when(F.instr(text, NEEDS[kind]) > 0, found).otherwise(F.array().cast("array<string>"))
+    return found
+
+
+def hits(found: Column, between: Column, kind: str) -> Column:
+    """Matches of one kind: number, length of the text between, match, and the words before it."""
+    rows = F.arrays_zip(found.alias("value"), F.slice(between, 1, F.size(found)).alias("gap"))
     return F.transform(rows, lambda x, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("number"), F.length(x["gap"]).alias("gap"), x["value"].alias("value"),
-        F.right(x["gap"], F.lit(CONTEXT)).alias("left"), F.substring(x["after"], 1, 1).alias("next"),
+        F.right(x["gap"], F.lit(CONTEXT)).alias("left"),
     ))
 
 
@@ -81,17 +95,30 @@ def slot_of(left: Column) -> Column:
 def occurrences(rows: DataFrame) -> DataFrame:
     """All matches with start and end; a row without any keeps one line with null kind.
 
-    ``rows`` has the document's key columns and ``text``.
+    ``rows`` has the document's key columns and ``text``. The patterns see the end of a piece alone: its tokens and
+    ``CONTEXT`` characters before the first. Every step is a column of its own, so that no pattern runs twice.
     """
     keys = [c for c in rows.columns if c != "text"]
-    text = F.coalesce("text", F.lit(""))
-    every = [hits(text, PATTERNS[k], k, NEEDS[k]) for k in KINDS] + [hits(text, TOKEN, OTHER, None)]
-    found = rows.select(*keys, F.explode_outer(F.concat(*every)).alias("hit")).select(*keys, "hit.*")
-    order = Window.partitionBy(*keys, "kind").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.length("value")).over(order)
+    pieces = rows.select(*keys, pieces_of(F.coalesce("text", F.lit(""))).alias("pieces"))
+    pieces = pieces.select(*keys, F.posexplode_outer("pieces").alias("piece", "whole"))
+    pieces = pieces.withColumn("tokens", F.length(F.regexp_extract("whole", TOKENS, 1)))
+    pieces = pieces.select(*keys, "piece", F.length("whole").alias("size"), F.right("whole", F.col("tokens") + CONTEXT).alias("near"))
+    found = pieces.select("*", *[found_in(F.col("near"), k).alias(f"found_{k}") for k in PATTERNS])
+    found = found.select("*", *[F.when(F.size(f"found_{k}") > 0, F.split("near", PATTERNS[k], -1)).otherwise(
+        F.array().cast("array<string>")).alias(f"between_{k}") for k in PATTERNS])
+    every = F.concat(*[hits(F.col(f"found_{k}"), F.col(f"between_{k}"), k) for k in PATTERNS])
+    found = found.select(*keys, "piece", "size", F.length("near").alias("near"), F.explode_outer(every).alias("hit"))
+    found = found.select(*keys, "piece", "size", "near", "hit.*").withColumn("slot", slot_of(F.col("left"))).drop("left")
+    # Ends inside a piece, and where pieces end: each has an unknown token, whose first one brings its size.
+    order = Window.partitionBy(*keys, "piece", "kind").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.sum(F.col("gap") + F.length("value")).over(order)
+    to_here = Window.partitionBy(*keys).orderBy("piece").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.sum(F.when((F.col("kind") == OTHER) & (F.col("number") == 0), F.col("size"))).over(to_here)
+    found = found.withColumn("inside", inside).withColumn("until", until)
+    end = F.col("until") - F.col("near") + F.col("inside")
     found = found.withColumn("end", end).withColumn("start", end - F.length("value"))
     found = found.filter(F.col("kind").isNull() | is_valid(F.col("kind"), F.col("value")))
-    return found.withColumn("slot", slot_of(F.col("left"))).drop("gap", "left", "number", "next")
+    return found.select(*keys, "kind", "value", "end", "start", "slot")
 
 
 def with_unknown(found: DataFrame, keys: list[str]) -> DataFrame:

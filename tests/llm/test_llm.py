@@ -137,6 +137,43 @@ def test_addresses_with_zero_parts(spark):
     assert pii.redacted(docs).first()["text"] == "at [IP] now"
 
 
+def mixed_texts(count):
+    """Texts of words, runs and identifiers, with gaps around the reach of a context."""
+    rng = np.random.default_rng(21)
+    parts = ["word", "Two", "a@b.co", "10.0.0.1", "1.2.3.4.5.6.7.8", "4111 1111-1111 1111", "+1 (705) 555-1902", "+1", "7", "x7", "@", "+49(", "5)",
+             "é😀", "(", "-", ".", "w" * 79, "w" * 81, "w" * 160 + "3", "agent77(at)host", "by mail", "q.r@s.tu_v@w.xy", "+1234567" + " " * 120 + "89"]
+    gaps = [" ", " ", " ", " ", "", "\n", "\t ", " - ", " " * 79, " " * 80, " " * 81, "(" + " " * 90, " word" * 15, " word" * 16 + " ", " word" * 17, " word" * 40 + " "]
+    return ["".join(gaps[rng.integers(len(gaps))] + parts[rng.integers(len(parts))] for _ in range(rng.integers(1, 14))) for _ in range(count)]
+
+
+def test_matches_and_contexts_equal_those_of_the_whole_text(spark):
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+){3}",
+             "card": r"[0-9](?:[\x20-]?[0-9]){15,}", "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "other": r"(?<!\S)[^\s0-9@]*[0-9@]\S*"}
+    texts = [*mixed_texts(600), "", "no digits " * 50, "x " * 900 + "9", "1 " * 900, "9" * 300 + " tail" * 300]
+    want = []
+    for n, text in enumerate(texts):
+        for kind, pattern in plain.items():
+            last = 0
+            for m in re.finditer(pattern, text, re.ASCII):
+                want.append((n, kind, m[0], m.start(), m.end(), text[last:m.start()][-pii.CONTEXT:]))
+                last = m.end()
+    want = spark.createDataFrame(want, "doc long, kind string, value string, start long, end long, left string")
+    want = want.filter(pii.is_valid(F.col("kind"), F.col("value"))).withColumn("slot", pii.slot_of(F.col("left")))
+    names = ["doc", "kind", "value", "start", "end", "slot"]
+    got = pii.occurrences(spark.createDataFrame(list(enumerate(texts)), "doc long, text string")).select(names)
+    bare = {n for n, text in enumerate(texts) if not re.search("[0-9@]", text)}
+    assert Counter(map(tuple, got.filter("kind is null").select("doc").collect())) == Counter((n,) for n in bare)
+    assert Counter(map(tuple, got.filter("kind is not null").collect())) == Counter(map(tuple, want.select(names).collect()))
+
+
+def test_no_pattern_of_a_kind_runs_over_whole_texts(spark):
+    rows = spark.createDataFrame([(1, "at 10.0.0.1")], "doc long, text string")
+    plan = pii.occurrences(rows)._jdf.queryExecution().optimizedPlan().toString()
+    # One look for pieces, then each kind once over the end of a piece.
+    assert plan.count("regexp_extract_all(") == 1 + len(pii.PATTERNS) and plan.count("split(near") == len(pii.PATTERNS)
+    assert len(re.findall(r"regexp_extract_all\(near", plan)) == len(pii.PATTERNS)
+
+
 def test_context_finds_unseen_identifiers(spark):
     rows = [(i, f"please reach me by mail user{i}@host.org today") for i in range(8)]
     rows += [(20, "reach me by mail agent77(at)host now"), (21, "it costs by weight 77 euro")]
