@@ -23,8 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ascii_lower
-from feedloom.llm.url_filter import bloom, filter_bits, passes
+from feedloom.llm.common import LOWER, UPPER, ascii_lower
+from feedloom.llm.url_filter import filter_bits
 from feedloom.session import pinned
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -50,6 +50,7 @@ TOKENS = r"(?s)^(?:[^\s0-9@]*+\s++)*+(.*+)"
 ROUNDS = 3
 ACCEPT = 0.6
 FILTER_BITS = 1 << 23
+SPACES = "\t\n\x0b\x0c\r"
 
 
 def pieces_of(text: Column) -> Column:
@@ -131,18 +132,47 @@ def with_unknown(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.withColumn("touched", touched).filter(F.col("kind").isNull() | base | ~F.col("touched")).drop("touched")
 
 
+def slot_places(slot: Column, bits: int) -> list[Column]:
+    """Bit positions of a slot: parts of the key, which is a hash already. ``bits`` is a power of two."""
+    return [F.shiftrightunsigned(slot, n).bitwiseAND(F.lit(bits - 1)) for n in (0, 21, 42)]
+
+
+def slot_filter(slots: DataFrame, bits: int) -> DataFrame:
+    """One row: the bits of all slots as an array of ``bits / 64`` longs."""
+    at = slots.select(F.explode(F.array(*slot_places(F.col("slot"), bits))).alias("at"))
+    set_bits = at.select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bits"))
+    empty = slots.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    full = set_bits.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("filter"))
+
+
+def may_be_slot(filter_row: DataFrame, slot: Column, bits: int) -> Column:
+    """Whether all bits of a slot are set."""
+    words = filter_row.scalar()
+
+    def test(at: Column) -> Column:
+        word = F.get(words, F.shiftrightunsigned(at, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", word, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return reduce(lambda a, b: a & b, [test(at) for at in slot_places(slot, bits)])
+
+
+def word_pairs(texts: DataFrame) -> DataFrame:
+    """Key of every two words side by side, split at white space, in ASCII lower case."""
+    plain = F.translate("text", UPPER + SPACES, LOWER + " " * len(SPACES))
+    words = texts.filter("text is not null").select(F.array_remove(F.split(plain, " "), "").alias("w"))
+    pairs = words.select(F.inline(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, greatest(size(w) - 1, 0))").alias("b"))))
+    return pairs.filter("b is not null").select(F.xxhash64("a", "b").alias("slot"))
+
+
 def slot_counts(texts: DataFrame, slots: DataFrame) -> DataFrame:
     """How often each slot's two words stand side by side in the corpus.
 
-    A Bloom filter of the slots drops nearly all other word pairs ahead of the join.
+    A filter of bits drops nearly all other word pairs ahead of the join.
     """
     bits = filter_bits(slots.count(), FILTER_BITS)
-    known = pinned(bloom(slots.select(F.col("slot").alias("key")), 0, bits), "slotbloom")
-    words = F.split(ascii_lower(F.col("text")), r"[\x20\x09-\x0D]+")
-    pairs = texts.filter("text is not null").select(words.alias("w"))
-    pairs = pairs.select(F.inline(F.arrays_zip(F.col("w").alias("a"), F.expr("slice(w, 2, greatest(size(w) - 1, 0))").alias("b"))))
-    pairs = pairs.filter("b is not null").select(F.xxhash64("a", "b").alias("slot"))
-    pairs = pairs.filter(passes(known, F.col("slot"), 0, bits))
+    known = pinned(slot_filter(slots, bits), "slotbits")
+    pairs = word_pairs(texts).filter(may_be_slot(known, F.col("slot"), bits))
     # Written first, so the join meets one row per slot and not one per occurrence.
     counted = pinned(pairs.groupBy("slot").agg(F.count(F.lit(1)).alias("total")), "slotcounts")
     return counted.join(slots, "slot", "left_semi")

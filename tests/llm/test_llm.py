@@ -174,6 +174,16 @@ def test_no_pattern_of_a_kind_runs_over_whole_texts(spark):
     assert len(re.findall(r"regexp_extract_all\(near", plan)) == len(pii.PATTERNS)
 
 
+def test_slot_counts_equal_brute_force(spark):
+    texts = [*mixed_texts(200), "Two  words\n\ttwo WORDS", " two\x0bwords É two é words\r", "", " ", None] + ["Two words two"] * 3
+    words = [re.sub("[A-Z]", lambda m: m[0].lower(), re.sub(r"[\x20\x09-\x0D]+", " ", t)).strip(" ").split(" ") for t in texts if t]
+    want = Counter(p for w in words for p in zip(w, w[1:], strict=False))
+    some = [*list(want)[::3], ("two", "words"), ("never", "there")]
+    pairs = spark.createDataFrame(some, "a string, b string").select("a", "b", F.xxhash64("a", "b").alias("slot")).distinct()
+    got = pii.slot_counts(spark.createDataFrame([(t,) for t in texts], "text string"), pairs.select("slot")).join(pairs, "slot").collect()
+    assert {(r["a"], r["b"]): r["total"] for r in got} == {p: want[p] for p in some if want[p]} and want["two", "words"] == 6
+
+
 def test_context_finds_unseen_identifiers(spark):
     rows = [(i, f"please reach me by mail user{i}@host.org today") for i in range(8)]
     rows += [(20, "reach me by mail agent77(at)host now"), (21, "it costs by weight 77 euro")]
